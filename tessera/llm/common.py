@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 
 #: Keys that a skew-safe join sends by broadcast, whatever the size of its tables.
 HOT_KEYS = 1000
+#: Rows of an Arrow batch.
+BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Python workers get few rows at a time, as one text may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

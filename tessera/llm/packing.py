@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, stored
+from tessera.llm.common import documents, small_batches, stored
 from tessera.llm.tokens import TOKENIZER, CachedTokenizer
 
 CAPACITY = 2048
@@ -169,6 +169,7 @@ def places(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """pieces(docs) with sequence_id and offset. Pieces that agree in length, doc_id, piece and checksum are interchangeable; no rows for an empty table."""
     spark = docs.sparkSession
+    small_batches(spark)
     cut = stored(pieces(docs, capacity, tokenizer).withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")), "pieces")
     parts = cut.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     count = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # a row for each length, up to capacity

@@ -9,10 +9,12 @@ import numpy as np
 #: A path, or public:NAME for a vocabulary of the installed public_tokenizers.
 TOKENIZER = "public:word_bpe_49k.json"
 #: Entries kept by one worker.
-KEPT = 600_000
+KEPT = 250_000
 #: In texts of other characters, lower case, white space and composition may not be those of the tokenizer's own steps.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-¬®-įĲ-ŷ‐-‧€]*")
 
+#: Parts given to the tokenizer at once; its results take far more memory than the ids.
+SLICE = 10_000
 #: Stands between parts; plain texts do not have it, and the tokenizer makes it one token.
 MARK = "\x01"
 
@@ -50,17 +52,18 @@ class CachedTokenizer:
         if len(known) + len(new) > KEPT:
             known.clear()
             new = {p for parts in split for p in parts}
-        if new:
-            parts = list(new)
+        ordered = list(new)
+        for at in range(0, len(ordered), SLICE):
+            parts = ordered[at : at + SLICE]
             lines = [f" {MARK} ".join(parts[i : i + 500]) + f" {MARK}" for i in range(0, len(parts), 500)]
             ids = np.concatenate([np.array(got.ids, "<u4") for got in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) != len(parts):
                 raise ValueError("the mark between parts is not a token of its own")
-            data, at = ids.tobytes(), 0
+            data, first = ids.tobytes(), 0
             for p, end in zip(parts, (ends * 4).tolist(), strict=True):
-                known[p] = data[at:end]
-                at = end + 4
+                known[p] = data[first:end]
+                first = end + 4
         return [b"".join([known[p] for p in parts]) if ok else self.whole(text) for text, parts, ok in zip(texts, split, plain, strict=True)]
 
     def encode(self, text: str) -> bytes:
