@@ -1,7 +1,7 @@
 """All queries of this package by name, and their SQL."""
 
-from tessera.llm import mixing, packing, sharding, warc
+from tessera.llm import mixing, packing, quality, sharding, warc
 
-MODULES = (sharding, warc, mixing, packing)
+MODULES = (sharding, warc, mixing, packing, quality)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: f for m in MODULES for k, f in m.SQL.items()}
