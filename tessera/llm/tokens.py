@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
 
 #: A path, or public:NAME for a vocabulary of the installed public_tokenizers.
 TOKENIZER = "public:word_bpe_49k.json"
-#: Entries kept by one worker.
-KEPT = 250_000
+#: Entries kept by one worker, some 200 MB.
+KEPT = 900_000
 #: In texts of other characters, lower case, white space and composition may not be those of the tokenizer's own steps.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-¬®-įĲ-ŷ‐-‧€]*")
 
@@ -37,34 +38,53 @@ class CachedTokenizer:
                 import public_tokenizers
 
                 path = public_tokenizers.path(name.removeprefix("public:"))
-            _loaded[name] = (Tokenizer.from_file(path), {})
-        self.tokenizer, self.known = _loaded[name]
+            whole = Tokenizer.from_file(path)
+            rules = json.loads(whole.to_str())
+            rules["normalizer"] = None  # parts are composed, lower and without white space already
+            _loaded[name] = (whole, Tokenizer.from_str(json.dumps(rules)), {})
+        self.tokenizer, self.plain, self.known = _loaded[name]
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        plain = [not ("<|" in text or not PLAIN.fullmatch(text)) for text in texts]
-        split = [text.lower().split() if ok else [] for text, ok in zip(texts, plain, strict=True)]
-        known = self.known
-        new = {p for parts in split for p in parts if p not in known}
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = {p for parts in split for p in parts}
-        ordered = list(new)
-        for at in range(0, len(ordered), SLICE):
-            parts = ordered[at : at + SLICE]
-            lines = [f" {MARK} ".join(parts[i : i + 500]) + f" {MARK}" for i in range(0, len(parts), 500)]
-            ids = np.concatenate([np.array(got.ids, "<u4") for got in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+    def learn(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), SLICE):
+            some = parts[at : at + SLICE]
+            lines = [f" {MARK} ".join(some[i : i + 500]) + f" {MARK}" for i in range(0, len(some), 500)]
+            ids = np.concatenate([np.array(got.ids, "<u4") for got in self.plain.encode_batch_fast(lines, add_special_tokens=False)])
             ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(parts):
+            if len(ends) != len(some):
                 raise ValueError("the mark between parts is not a token of its own")
             data, first = ids.tobytes(), 0
-            for p, end in zip(parts, (ends * 4).tolist(), strict=True):
-                known[p] = data[first:end]
+            for p, end in zip(some, (ends * 4).tolist(), strict=True):
+                self.known[p] = data[first:end]
                 first = end + 4
-        return [b"".join([known[p] for p in parts]) if ok else self.whole(text) for text, parts, ok in zip(texts, split, plain, strict=True)]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > KEPT:
+            self.known.clear()
+        get, out, open_, new = self.known.get, [], [], {}
+        for text in texts:
+            if "<|" in text or not PLAIN.fullmatch(text):
+                out.append(self.whole(text))
+                continue
+            parts = text.lower().split()
+            got = list(map(get, parts))
+            if None in got:
+                gaps = [i for i, ids in enumerate(got) if ids is None]
+                missing = [parts[i] for i in gaps]
+                new.update(dict.fromkeys(missing))
+                open_.append((len(out), got, gaps, missing))
+                out.append(b"")
+            else:
+                out.append(b"".join(got))
+        self.learn(list(new))
+        for at, got, gaps, missing in open_:
+            for i, p in zip(gaps, missing, strict=True):
+                got[i] = self.known[p]
+            out[at] = b"".join(got)
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
