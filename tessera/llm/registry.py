@@ -1,7 +1,7 @@
 """All queries of this package by name, and their SQL."""
 
-from tessera.llm import fingerprints, mixing, packing, quality, secrets, sharding, warc
+from tessera.llm import fingerprints, mixing, packing, quality, secrets, sharding, topk, warc
 
-MODULES = (sharding, warc, mixing, packing, quality, secrets, fingerprints)
+MODULES = (sharding, warc, mixing, packing, quality, secrets, fingerprints, topk)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: f for m in MODULES for k, f in m.SQL.items()}
