@@ -57,9 +57,9 @@ def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
             if n >= words:
                 yield np.unique(sums[first : first + n - words + 1])
             else:
-                short = np.uint64(n)
-                for h in hashes[first : first + n]:
-                    short = short * _POWER + h
+                short = n
+                for h in hashes[first : first + n].tolist():
+                    short = (short * int(_POWER) + h) % (1 << 64)
                 yield mixed(np.array([short], np.uint64))
             first += n
         at = end
