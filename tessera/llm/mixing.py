@@ -57,13 +57,13 @@ def fair_queue(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     key = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     sized = docs.select("doc_id", "source", words(text_or_empty()).alias("size"), F.crc32(text_or_empty().cast("binary")).alias("_crc"), key.alias("_key"), *keep)
     sized = sized.withColumns({"_cut": F.substring("_key", 1, CUT), "_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))})
-    sized = stored(sized, "sized")
+    rows, sized = sized, stored(sized.drop(*keep), "sized")
     targets = source_targets(sized).withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
     cuts = sized.groupBy("_source", "_cut").agg(F.sum("size").alias("_words"))
     before = F.sum("_words").over(Window.partitionBy("_source").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1))
     cuts = cuts.withColumn("_before", F.coalesce(before, F.lit(0))).join(targets.drop("source"), "_source").drop("_words")
     inside = F.sum("size").over(Window.partitionBy("_source", "_cut").orderBy("_key", "_crc").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    got = sized.withColumn("_inside", inside).join(cuts, ["_source", "_cut"]).withColumn("queue_end", F.col("_before") + F.col("_inside"))
+    got = (rows if keep else sized).withColumn("_inside", inside).join(cuts, ["_source", "_cut"]).withColumn("queue_end", F.col("_before") + F.col("_inside"))
     served = [F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - (e * F.col("source_size") + F.col("queue_end") - F.col("size")))) for e in range(REPEATS)]
     got = got.withColumns({"taken": sum(served[1:], served[0]).cast("long"), "virtual_finish": F.when(F.col("target") > 0, F.col("queue_end") / F.col("target"))})
     return got.select("doc_id", "source", "size", "source_size", "target", "taken", "queue_end", "virtual_finish", *keep)
@@ -86,9 +86,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Copies stay whole: that which is in service at virtual time 1 counts if half of its words are served, and documents
     without words, which use none of the budget, stay once.
     """
-    keep = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    inner = docs.select("doc_id", "source", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row")) if keep else docs
-    queued = fair_queue(inner, ("_row",))
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
+    queued = fair_queue(rows, ("_row",))
     copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
     start = F.col("copy") * F.col("source_size") + F.col("queue_end") - F.col("size")
     served = 2 * (F.floor("target") - start) >= F.col("size")

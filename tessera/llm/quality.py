@@ -151,28 +151,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return train(rows, (of.get(0, 0) / total, of.get(1, 0) / total))
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """docs with score, the probability of label 1. Null and empty texts get the model's answer for no evidence."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "score") -> DataFrame:
+    """docs with the probability of label 1 in column, which replaces one of that name. Null and empty texts get the model's answer for no evidence."""
     odds, bias = model
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((np.asarray(odds, np.float32), float(bias)))  # TABLE numbers
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, at_none = shared.value
-        for batch in batches:
+        for texts in batches:
             out = []
-            for sizes, entries in features([t if isinstance(t, str) else "" for t in batch["text"]]):
-                end = np.cumsum(table[entries], dtype=np.float64)
-                end = np.concatenate([[0.0], end])
+            for sizes, entries in features([t if isinstance(t, str) else "" for t in texts]):
+                end = np.concatenate([[0.0], np.cumsum(table[entries], dtype=np.float64)])
                 last = np.cumsum(sizes)
                 out.append((end[last] - end[last - sizes]) / np.maximum(sizes, 1) + at_none)
             z = np.concatenate(out) if out else np.zeros(0)
-            yield batch.assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    inner = docs.drop("score")
-    return inner.mapInPandas(score, StructType([*inner.schema.fields, StructField("score", DoubleType())]))
+    return docs.withColumn(column, F.pandas_udf(score, "double")(F.col("text")))
 
 
 def held_out() -> F.Column:
