@@ -103,7 +103,7 @@ def suffix_array(raw: np.ndarray, end: np.ndarray, text: np.ndarray) -> np.ndarr
     signs = np.concatenate([raw.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
     for j in range(7):
         key = key << np.uint64(9) | np.where(position + j < end, signs[j : n + j], np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ordered = key[order]
     new = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
     rank = np.empty(n, np.int64)
@@ -116,7 +116,7 @@ def suffix_array(raw: np.ndarray, end: np.ndarray, text: np.ndarray) -> np.ndarr
         group = rank[where]
         beyond = where + h
         second = np.where(beyond < end[where], rank[np.minimum(beyond, n - 1)], text[where] - texts)
-        again = np.lexsort((second, group))
+        again = np.argsort(group * (n + texts) + second + texts)
         where, group, second = where[again], group[again], second[again]
         order[unsorted] = where
         last = np.append((group[1:] != group[:-1]) | (second[1:] != second[:-1]), True)
@@ -165,6 +165,31 @@ def common_prefixes(raw: np.ndarray, end: np.ndarray, first: np.ndarray, order:
     return out
 
 
+def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
+    """The contexts of rows (columns anchor, bytes, row, start, q, many) that may share a window with another one of their anchor.
+
+    A window holds its anchor's gram and so reaches half of what is left of it, or more, to one side of the gram; contexts
+    with nobody who is equal that far to the same side share none. Nor is anything asked of those that occur several times.
+    """
+    half = (length - gram) // 2
+    sizes = rows["bytes"].map(len).to_numpy()
+    raw = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+    last = np.cumsum(sizes)
+    first = last - sizes
+    at = first + (rows["q"] - rows["start"]).to_numpy()
+    many = rows["many"].to_numpy(bool)
+    anchor = rows["anchor"].to_numpy().view(np.uint64)
+    keep = np.zeros(len(rows), bool)
+    for begin, width in ((at, gram + half), (at - half, gram + half)):
+        there = np.flatnonzero((begin >= first) & (begin + width <= last))
+        if len(there):
+            hashed, _ = window_hashes(raw, begin[there], width)
+            _, group = np.unique(mixed(hashed + anchor[there]), return_inverse=True)
+            good = (np.bincount(group) > 1) & (np.bincount(group, ~many[there]) > 0)
+            keep[there[good[group]]] = True
+    return rows[keep]
+
+
 def shard_windows(rows: pd.DataFrame, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Of each window of length in the contexts (columns bytes, row, start, many): run (equal for equal windows), the row and place where it starts, repeated, many and its position in raw; and raw."""
     parts = [b for b in rows["bytes"]]
@@ -216,6 +241,9 @@ def window_hashes(raw: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tupl
 
 def shard_spans(key: tuple, rows: pd.DataFrame, slices: int) -> pd.DataFrame:
     """row, start, end of what is repeated within a shard. A shard of a very common anchor also gives, for slices of the hash range, its sorted windows (slice, windows)."""
+    rows = rows if str(key[0]).startswith("part") else comparable(rows)
+    if not len(rows):
+        return pd.DataFrame({c: pd.array([], "Int64") for c in ("row", "start", "end", "slice")} | {"windows": []})
     found = shard_windows(rows)
     good = found["repeated"] & ~found["many"]
     out = spans_of(found["row"][good], found["place"][good])
@@ -287,7 +315,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     small_batches(spark)
     found = contexts(rows)
-    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("start").alias("start"), F.first("end").alias("end"))
+    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("q").alias("q"), F.first("end").alias("end"))
     each = stored(each, "contexts")
     by_anchor = each.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where("all > 1")
     known = skew_join(each, stored(by_anchor.select("anchor", "different"), "anchors"), "anchor", "different").where("different is not null")
@@ -298,10 +326,11 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     whole = found.join(many, ["anchor", "context"], "left_semi").where(F.col("end") - F.col("start") >= LENGTH).select("row", "start", "end")
 
     # The others are compared with the different contexts of their anchor.
-    asked = known.where(F.col("different") > 1).select("row", "anchor", "context", "start", "end", (F.col("n") > 1).alias("many"), "different")
+    start = F.greatest(F.col("q") - (LENGTH - GRAM), F.lit(0))
+    asked = known.where(F.col("different") > 1).select("row", "anchor", "context", start.alias("start"), "q", "end", (F.col("n") > 1).alias("many"), "different")
     asked = asked.withColumn("shards", F.ceil(F.col("different") / SHARD).cast("int"))
     size = asked.agg(F.count("*"), F.count_if(F.col("shards") > 1)).first()
-    requests = asked.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "start", "end", "many", "shards")).alias("asked"))
+    requests = asked.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "start", "q", "end", "many", "shards")).alias("asked"))
     requests = stored(requests, "requests")
     texts = rows.select("row", "text").join(F.broadcast(requests) if size[0] <= BROADCAST_ROWS else requests, "row")
 
@@ -310,10 +339,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
             out = []
             for row, text, wanted in zip(batch["row"].tolist(), batch["text"], batch["asked"], strict=True):
                 text = text.encode("utf-8", "surrogatepass")
-                out += [(row, w["anchor"], w["context"], w["start"], w["many"], w["shards"], text[w["start"] : w["end"]]) for w in wanted]
-            yield pd.DataFrame(out, columns=["row", "anchor", "context", "start", "many", "shards", "bytes"])
+                out += [(row, w["anchor"], w["context"], w["start"], w["q"], w["many"], w["shards"], text[w["start"] : w["end"]]) for w in wanted]
+            yield pd.DataFrame(out, columns=["row", "anchor", "context", "start", "q", "many", "shards", "bytes"])
 
-    pieces = texts.mapInPandas(cut, "row long, anchor long, context long, start long, many boolean, shards int, bytes binary")
+    pieces = texts.mapInPandas(cut, "row long, anchor long, context long, start long, q long, many boolean, shards int, bytes binary")
     usual = F.concat(F.lit("shard:"), F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size[0] // SHARD)))).cast("string"))
     common = F.concat_ws(":", F.lit("part"), "anchor", F.pmod(F.xxhash64("context"), F.col("shards")))
     slices = max(1, -(-size[1] // SHARD))
