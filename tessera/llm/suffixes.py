@@ -2,7 +2,7 @@
 
 A byte goes if it lies in a string of LENGTH bytes that also starts elsewhere. Sorting the suffixes of a whole corpus is out
 of reach, and most of them repeat nothing; so anchors come first. In every window of LENGTH bytes the k-grams of least hash
-are its anchors: equal windows have equal anchors at equal places. An anchor's context, the bytes of all windows around it,
+are its anchors: equal windows have equal anchors at equal places. An anchor's context, the bytes of the windows it is the anchor of,
 is judged by its hash: contexts that occur twice are repeated whole; anchors that occur once repeat nothing. What is left,
 anchors with several different contexts, goes to suffix arrays: each shard holds the contexts of some anchors, sorts their
 suffixes by Larsson-Sadakane refinement and reads common prefixes off by Kasai's method. The contexts of a very common anchor
@@ -22,6 +22,8 @@ from tessera.llm.common import documents, skew_join, small_batches, stored, text
 from tessera.llm.hashing import mixed
 
 LENGTH, GRAM = 200, 32
+#: Contexts are compared in strings that begin so many bytes apart.
+STEP = 8
 #: Contexts of a shard; an anchor with more of them fills several.
 SHARD = 4000
 #: Rows that are broadcast at most; beyond that the join shuffles.
@@ -45,6 +47,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def prefix_sums(raw: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums of a byte's number times a power of its place; the difference of two, times a power, is the hash of what lies between."""
+    out = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(table[raw] * powers(len(raw) + 1)[0][: len(raw)], out=out[1:])
+    return out
+
+
 def sliding(values: np.ndarray, width: int, fold: np.ufunc, fill: int) -> np.ndarray:
     """fold over each width values in a row: block-wise running folds from both sides."""
     n = len(values)
@@ -68,12 +77,8 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
             sizes = np.array([len(t) for t in texts[at:stop]])
             last = np.cumsum(sizes)
             raw = np.frombuffer(b"".join(texts[at:stop]), np.uint8)
-            up, down = powers(total + 1)
-            sums = []
-            for table in _TABLES:
-                s = np.zeros(total + 1, np.uint64)
-                np.cumsum(table[raw] * up[:total], out=s[1:])
-                sums.append(s)
+            _, down = powers(total + 1)
+            sums = [prefix_sums(raw, table) for table in _TABLES]
             grams = mixed((sums[0][gram:] - sums[0][:-gram]) * down[: total + 1 - gram])
             width = length - gram + 1
             least = sliding(grams, width, np.minimum, (1 << 64) - 1)
@@ -83,7 +88,13 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
             edge[width - 1 : width - 1 + len(least)] = least
             q = np.flatnonzero((sliding(edge, width, np.maximum, 0) == grams) & (grams != 0))
             of = np.searchsorted(last, q, "right")
-            start, end = np.maximum(last[of] - sizes[of], q - (length - gram)), np.minimum(last[of], q + length)
+            # Windows whose least gram an anchor is stand in a row; they are its own, and its context is what they cover.
+            starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+            run = np.searchsorted(starts, q, "right") - 1
+            while len(other := np.flatnonzero(least[starts[run]] != grams[q])):
+                run[other] -= 1
+            start = np.maximum(starts[run], q - width + 1)
+            end = np.minimum(np.append(starts[1:], len(least))[run] - 1, q) + length
             hashed = (sums[1][end] - sums[1][start]) * down[start]
             hashed = mixed(mixed(hashed + (q - start).astype(np.uint64)) + (end - q).astype(np.uint64))
             first = last[of] - sizes[of]
@@ -168,10 +179,10 @@ def common_prefixes(raw: np.ndarray, end: np.ndarray, first: np.ndarray, order:
 def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
     """The contexts of rows (columns anchor, bytes, row, start, q, many) that may share a window with another one of their anchor.
 
-    A window holds its anchor's gram and so reaches half of what is left of it, or more, to one side of the gram; contexts
-    with nobody who is equal that far to the same side share none. Nor is anything asked of those that occur several times.
+    A window begins STEP bytes or less before one of the places that lie whole STEPs left of the anchor, so it holds the
+    length - STEP bytes from there; contexts with nobody who is equal in any of these strings share none. Nor is anything
+    asked of those that occur several times.
     """
-    half = (length - gram) // 2
     sizes = rows["bytes"].map(len).to_numpy()
     raw = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
     last = np.cumsum(sizes)
@@ -180,11 +191,15 @@ def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     many = rows["many"].to_numpy(bool)
     anchor = rows["anchor"].to_numpy().view(np.uint64)
     keep = np.zeros(len(rows), bool)
-    for begin, width in ((at, gram + half), (at - half, gram + half)):
-        there = np.flatnonzero((begin >= first) & (begin + width <= last))
+    sums = prefix_sums(raw, _TABLES[0])
+    _, down = powers(len(raw) + 1)
+    for shift in range(0, length - gram + 1, STEP):
+        begin = at - shift
+        end = begin + length - STEP
+        there = np.flatnonzero((begin >= first) & (end <= last))
         if len(there):
-            hashed, _ = window_hashes(raw, begin[there], width)
-            _, group = np.unique(mixed(hashed + anchor[there]), return_inverse=True)
+            hashed = (sums[end[there]] - sums[begin[there]]) * down[begin[there]]
+            _, group = np.unique(mixed(hashed) + anchor[there], return_inverse=True)
             good = (np.bincount(group) > 1) & (np.bincount(group, ~many[there]) > 0)
             keep[there[good[group]]] = True
     return rows[keep]
@@ -230,13 +245,9 @@ def spans_of(row: np.ndarray, place: np.ndarray, length: int = LENGTH) -> pd.Dat
 
 
 def window_hashes(raw: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    up, down = powers(len(raw) + 1)
-    out = []
-    for table in _TABLES:
-        s = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(table[raw] * up[: len(raw)], out=s[1:])
-        out.append(mixed((s[at + length] - s[at]) * down[at]))
-    return out[0], out[1]
+    _, down = powers(len(raw) + 1)
+    one, two = (prefix_sums(raw, table) for table in _TABLES)
+    return mixed((one[at + length] - one[at]) * down[at]), mixed((two[at + length] - two[at]) * down[at])
 
 
 def shard_spans(key: tuple, rows: pd.DataFrame, slices: int) -> pd.DataFrame:
@@ -314,8 +325,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """row, start, end (byte places, possibly overlapping): all bytes in strings of LENGTH that also start elsewhere."""
     spark = rows.sparkSession
     small_batches(spark)
-    found = contexts(rows)
-    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("q").alias("q"), F.first("end").alias("end"))
+    found = stored(contexts(rows), "anchors")
+    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("q").alias("q"), F.first("start").alias("start"), F.first("end").alias("end"))
     each = stored(each, "contexts")
     by_anchor = each.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where("all > 1")
     known = skew_join(each, stored(by_anchor.select("anchor", "different"), "anchors"), "anchor", "different").where("different is not null")
@@ -326,8 +337,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     whole = found.join(many, ["anchor", "context"], "left_semi").where(F.col("end") - F.col("start") >= LENGTH).select("row", "start", "end")
 
     # The others are compared with the different contexts of their anchor.
-    start = F.greatest(F.col("q") - (LENGTH - GRAM), F.lit(0))
-    asked = known.where(F.col("different") > 1).select("row", "anchor", "context", start.alias("start"), "q", "end", (F.col("n") > 1).alias("many"), "different")
+    asked = known.where(F.col("different") > 1).select("row", "anchor", "context", "start", "q", "end", (F.col("n") > 1).alias("many"), "different")
     asked = asked.withColumn("shards", F.ceil(F.col("different") / SHARD).cast("int"))
     size = asked.agg(F.count("*"), F.count_if(F.col("shards") > 1)).first()
     requests = asked.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "start", "q", "end", "many", "shards")).alias("asked"))
