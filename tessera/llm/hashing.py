@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text that are hashed at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.uint64(0x100000001B3)

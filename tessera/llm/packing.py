@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, small_batches, stored
-from tessera.llm.tokens import TOKENIZER, CachedTokenizer
+from tessera.llm.tokens import KEPT, TOKENIZER, CachedTokenizer
 
 CAPACITY = 2048
 END = 0
@@ -33,14 +33,14 @@ FEW = 200
 Pattern = tuple[tuple[int, int], ...]
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, kept: int = KEPT) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the ids of each whole text and END, cut only where they are more than capacity.
 
     A null text counts as empty and gives one piece, END alone. Each row of docs is cut by itself, also if its doc_id repeats.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = CachedTokenizer(tokenizer)
+        tok = CachedTokenizer(tokenizer, kept)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows = []
@@ -166,11 +166,11 @@ def places(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
-    """pieces(docs) with sequence_id and offset. Pieces that agree in length, doc_id, piece and checksum are interchangeable; no rows for an empty table."""
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, kept: int = KEPT) -> DataFrame:
+    """pieces(docs) with sequence_id and offset. kept: parts whose ids a worker remembers. Pieces that agree in length, doc_id, piece and checksum are interchangeable; no rows for an empty table."""
     spark = docs.sparkSession
     small_batches(spark)
-    cut = stored(pieces(docs, capacity, tokenizer).withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")), "pieces")
+    cut = stored(pieces(docs, capacity, tokenizer, kept).withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")), "pieces")
     parts = cut.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     count = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # a row for each length, up to capacity
     by_length = defaultdict(list)

@@ -25,7 +25,7 @@ SAMPLE = 1500
 EPOCHS, RATE, SEED = 6, 0.5, 7
 THRESHOLD = 0.3
 #: Bytes of text that are hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)

@@ -29,7 +29,8 @@ class CachedTokenizer:
     its lowered parts, joined. A text that isn't plain, or may hold a special token, is given to the tokenizer as it is.
     """
 
-    def __init__(self, name: str = TOKENIZER) -> None:
+    def __init__(self, name: str = TOKENIZER, kept: int = KEPT) -> None:
+        self.kept = kept
         if name not in _loaded:
             from tokenizers import Tokenizer
 
@@ -62,7 +63,7 @@ class CachedTokenizer:
                 first = end + 4
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT:
+        if len(self.known) > self.kept:
             self.known.clear()
         get, out, open_, new = self.known.get, [], [], {}
         for text in texts:
