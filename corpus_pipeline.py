@@ -9,6 +9,10 @@ from tessera.llm import mixing, ngram_join, packing, quality, secrets
 from tessera.llm.common import documents, stored
 
 
+#: Parts whose ids a tokenizing worker remembers: fewer than alone, as other stages share its memory.
+KEPT = 200_000
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at its threshold or above."""
     got = quality.scored(docs, quality.quality_model(spark, docs, sf_dir), "_quality_score")
@@ -32,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents with their sequences and offsets."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, kept=KEPT)
 
 
 STAGES = [("quality", keep_good), ("near_duplicates", keep_one_of_each), ("secrets", redact), ("mixing", mix), ("packing", pack)]
