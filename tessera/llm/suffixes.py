@@ -22,6 +22,8 @@ from tessera.llm.common import documents, skew_join, small_batches, stored, text
 from tessera.llm.hashing import mixed
 
 LENGTH, GRAM = 200, 32
+#: A place in one number: q, then bytes to the left of it, then to the right, which are LENGTH at most.
+SIDE_BITS, PLACE_BITS = 12, 24
 #: Contexts are compared in strings that begin so many bytes apart.
 STEP = 8
 #: Contexts of a shard; an anchor with more of them fills several.
@@ -81,17 +83,18 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
             sums = [prefix_sums(raw, table) for table in _TABLES]
             grams = mixed((sums[0][gram:] - sums[0][:-gram]) * down[: total + 1 - gram])
             width = length - gram + 1
-            least = sliding(grams, width, np.minimum, (1 << 64) - 1)
+            short = (grams >> np.uint64(32)).astype(np.uint32) | np.uint32(1)  # enough to order them; equal ones are all anchors
+            least = sliding(short, width, np.minimum, (1 << 32) - 1)
             inside = np.arange(total - length + 1) + length <= np.repeat(last, sizes)[: total - length + 1]
             least[~inside] = 0
-            edge = np.zeros(len(grams) + width - 1, np.uint64)
+            edge = np.zeros(len(grams) + width - 1, np.uint32)
             edge[width - 1 : width - 1 + len(least)] = least
-            q = np.flatnonzero((sliding(edge, width, np.maximum, 0) == grams) & (grams != 0))
+            q = np.flatnonzero(sliding(edge, width, np.maximum, 0) == short)
             of = np.searchsorted(last, q, "right")
             # Windows whose least gram an anchor is stand in a row; they are its own, and its context is what they cover.
             starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
             run = np.searchsorted(starts, q, "right") - 1
-            while len(other := np.flatnonzero(least[starts[run]] != grams[q])):
+            while len(other := np.flatnonzero(least[starts[run]] != short[q])):
                 run[other] -= 1
             start = np.maximum(starts[run], q - width + 1)
             end = np.minimum(np.append(starts[1:], len(least))[run] - 1, q) + length
@@ -109,32 +112,36 @@ def suffix_array(raw: np.ndarray, end: np.ndarray, text: np.ndarray) -> np.ndarr
     twice as many in each round, and only groups that are still equal are sorted again. A rank is the last place of its group.
     """
     n = len(raw)
+    end, text = end.astype(np.int32), text.astype(np.int32)
     key = np.zeros(n, np.uint64)
-    position = np.arange(n)
+    left = end - np.arange(n, dtype=np.int32)
     signs = np.concatenate([raw.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
     for j in range(7):
-        key = key << np.uint64(9) | np.where(position + j < end, signs[j : n + j], np.uint64(0))
-    order = np.argsort(key)
+        key = key << np.uint64(9) | signs[j : n + j] * (left > j)
+    order = np.argsort(key).astype(np.int32)
     ordered = key[order]
-    new = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
-    rank = np.empty(n, np.int64)
-    size = np.diff(np.append(-1, new))
+    new = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True)).astype(np.int32)
+    rank = np.empty(n, np.int32)
+    size = np.diff(np.append(np.int32(-1), new))
     rank[order] = np.repeat(new, size)
-    unsorted = np.flatnonzero(np.repeat(size > 1, size))
+    unsorted = np.flatnonzero(np.repeat(size > 1, size)).astype(np.int32)
     h, texts = 7, int(text[-1]) + 1 if n else 0
+    where = order[unsorted]
+    group = rank[where]
     while len(unsorted):
-        where = order[unsorted]
-        group = rank[where]
-        beyond = where + h
-        second = np.where(beyond < end[where], rank[np.minimum(beyond, n - 1)], text[where] - texts)
-        again = np.argsort(group * (n + texts) + second + texts)
-        where, group, second = where[again], group[again], second[again]
+        second = rank[np.minimum(where + np.int32(h), n - 1)]
+        short = np.flatnonzero(left[where] <= h)
+        second[short] = text[where[short]] - np.int32(texts)
+        both = group.astype(np.int64) * (n + texts) + second
+        again = np.argsort(both)
+        where, both = where[again], both[again]
         order[unsorted] = where
-        last = np.append((group[1:] != group[:-1]) | (second[1:] != second[:-1]), True)
-        ends = np.flatnonzero(last)
+        ends = np.flatnonzero(np.append(both[1:] != both[:-1], True))
         size = np.diff(np.append(-1, ends))
-        rank[where] = np.repeat(unsorted[ends], size)
-        unsorted = unsorted[np.repeat(size > 1, size)]
+        group = np.repeat(unsorted[ends], size)
+        rank[where] = group
+        open_ = np.repeat(size > 1, size)
+        unsorted, where, group = unsorted[open_], where[open_], group[open_]
         h *= 2
     return order
 
@@ -146,14 +153,17 @@ def common_prefixes(raw: np.ndarray, end: np.ndarray, first: np.ndarray, order:
     walked at once, and what still grows is compared eight bytes at a time, then byte by byte.
     """
     n = len(raw)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    before = np.full(n, -1)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[:n]).view(np.uint64).ravel()
-    out = np.zeros(n, np.int64)
-    at, h = first.copy(), np.zeros(len(first), np.int64)
+    words = np.zeros(n, np.uint64)
+    for j in range(8):
+        words = words << np.uint64(8) | padded[j : n + j]
+    out = np.zeros(n, np.int32)
+    end = end.astype(np.int32)
+    at, h = first.astype(np.int32), np.zeros(len(first), np.int32)
     stop = end[first]
     while len(at):
         other = before[at]
@@ -177,7 +187,7 @@ def common_prefixes(raw: np.ndarray, end: np.ndarray, first: np.ndarray, order:
 
 
 def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
-    """The contexts of rows (columns anchor, bytes, row, start, q, many) that may share a window with another one of their anchor.
+    """The contexts of rows (columns anchor, bytes, row, start, q, many) that may share a window with another one of their anchor, cut to where it may lie.
 
     A window begins STEP bytes or less before one of the places that lie whole STEPs left of the anchor, so it holds the
     length - STEP bytes from there; contexts with nobody who is equal in any of these strings share none. Nor is anything
@@ -190,7 +200,7 @@ def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     at = first + (rows["q"] - rows["start"]).to_numpy()
     many = rows["many"].to_numpy(bool)
     anchor = rows["anchor"].to_numpy().view(np.uint64)
-    keep = np.zeros(len(rows), bool)
+    nearest, farthest = np.full(len(rows), length), np.full(len(rows), -1)
     sums = prefix_sums(raw, _TABLES[0])
     _, down = powers(len(raw) + 1)
     for shift in range(0, length - gram + 1, STEP):
@@ -201,8 +211,14 @@ def comparable(rows: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
             hashed = (sums[end[there]] - sums[begin[there]]) * down[begin[there]]
             _, group = np.unique(mixed(hashed) + anchor[there], return_inverse=True)
             good = (np.bincount(group) > 1) & (np.bincount(group, ~many[there]) > 0)
-            keep[there[good[group]]] = True
-    return rows[keep]
+            met = there[good[group]]
+            nearest[met] = np.minimum(nearest[met], shift)
+            farthest[met] = shift
+    keep = np.flatnonzero(farthest >= 0)
+    begin = np.maximum(first, at - farthest - STEP)[keep]
+    end = np.minimum(last, at - nearest + length)[keep]
+    data = raw.tobytes()
+    return rows.iloc[keep].assign(bytes=[data[a:b] for a, b in zip(begin, end, strict=True)], start=rows["start"].to_numpy()[keep] + begin - first[keep])
 
 
 def shard_windows(rows: pd.DataFrame, length: int = LENGTH) -> dict[str, np.ndarray]:
@@ -309,16 +325,22 @@ def with_rows(docs: DataFrame) -> DataFrame:
 
 
 def contexts(rows: DataFrame) -> DataFrame:
-    """row, q, anchor, context, start, end for each anchor of each row."""
+    """row, place, anchor, context for each anchor of each row; place holds q, and how far the context reaches to both sides of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             number = batch["row"].to_numpy()
             for found in anchors([t.encode("utf-8", "surrogatepass") for t in batch["text"]]):
-                found["row"] = number[found.pop("of")]
-                yield pd.DataFrame(found)[["row", "q", "anchor", "context", "start", "end"]]
+                place = found["q"] << PLACE_BITS | (found["q"] - found["start"]) << SIDE_BITS | (found["end"] - found["q"])
+                yield pd.DataFrame({"row": number[found["of"]], "place": place, "anchor": found["anchor"], "context": found["context"]})
 
-    return rows.select("row", "text").mapInPandas(run, "row long, q long, anchor long, context long, start long, end long")
+    return rows.select("row", "text").mapInPandas(run, "row long, place long, anchor long, context long")
+
+
+def placed(table: DataFrame) -> DataFrame:
+    """table with q, start and end instead of place."""
+    q, side = F.shiftright("place", PLACE_BITS), (1 << SIDE_BITS) - 1
+    return table.withColumns({"q": q, "start": q - F.shiftright("place", SIDE_BITS).bitwiseAND(side), "end": q + F.col("place").bitwiseAND(side)}).drop("place")
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -326,15 +348,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     small_batches(spark)
     found = stored(contexts(rows), "anchors")
-    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("q").alias("q"), F.first("start").alias("start"), F.first("end").alias("end"))
+    each = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("row").alias("row"), F.first("place").alias("place"))
     each = stored(each, "contexts")
     by_anchor = each.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where("all > 1")
     known = skew_join(each, stored(by_anchor.select("anchor", "different"), "anchors"), "anchor", "different").where("different is not null")
-    known = stored(known, "repeated")
+    known = placed(stored(known, "repeated"))
 
     # Contexts that occur several times are repeated whole, wherever they occur.
     many = known.where("n > 1").select("anchor", "context")
-    whole = found.join(many, ["anchor", "context"], "left_semi").where(F.col("end") - F.col("start") >= LENGTH).select("row", "start", "end")
+    whole = placed(found.join(many, ["anchor", "context"], "left_semi").select("row", "place")).select("row", "start", "end")
 
     # The others are compared with the different contexts of their anchor.
     asked = known.where(F.col("different") > 1).select("row", "anchor", "context", "start", "q", "end", (F.col("n") > 1).alias("many"), "different")
