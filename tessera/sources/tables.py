@@ -38,7 +38,7 @@ def available_countries(entities: DataFrame) -> DataFrame:
 def split_ids(ids: str, trim: bool = True) -> F.Column:
     """The ids of a comma list, each once; none for null, empty or nan."""
     cut = F.split(F.coalesce(F.col(ids), F.lit("")), ",")
-    cut = F.filter(F.transform(cut, F.trim) if trim else cut, lambda x: x != "")
+    cut = F.filter(F.transform(cut, lambda x: F.trim(x)) if trim else cut, lambda x: x != "")
     return F.when(F.lower(F.trim(F.coalesce(F.col(ids), F.lit("")))).isin("", "nan"), F.array().cast("array<string>")).otherwise(F.array_distinct(cut))
 
 
