@@ -28,10 +28,12 @@ SIDE_BITS, PLACE_BITS = 12, 24
 STEP = 8
 #: Contexts of a shard; an anchor with more of them fills several.
 SHARD = 4000
+#: Contexts that are sorted at once, more where one anchor has more.
+PIECE = 1000
 #: Rows that are broadcast at most; beyond that the join shuffles.
 BROADCAST_ROWS = 400_000
 #: Bytes of text that are hashed at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -266,14 +268,30 @@ def window_hashes(raw: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tupl
     return mixed((one[at + length] - one[at]) * down[at]), mixed((two[at + length] - two[at]) * down[at])
 
 
+def pieces_of(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """rows in pieces of PIECE or more, without cutting an anchor's contexts apart: as much is sorted at once as fits the processor's cache."""
+    rows = rows.sort_values("anchor", kind="stable")
+    anchor = rows["anchor"].to_numpy()
+    new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    at = 0
+    while at < len(rows):
+        later = new[new >= at + PIECE]
+        end = int(later[0]) if len(later) else len(rows)
+        yield rows.iloc[at:end]
+        at = end
+
+
 def shard_spans(key: tuple, rows: pd.DataFrame, slices: int) -> pd.DataFrame:
     """row, start, end of what is repeated within a shard. A shard of a very common anchor also gives, for slices of the hash range, its sorted windows (slice, windows)."""
     rows = rows if str(key[0]).startswith("part") else comparable(rows)
     if not len(rows):
         return pd.DataFrame({c: pd.array([], "Int64") for c in ("row", "start", "end", "slice")} | {"windows": []})
-    found = shard_windows(rows)
-    good = found["repeated"] & ~found["many"]
-    out = spans_of(found["row"][good], found["place"][good])
+    spans = []
+    for part in pieces_of(rows):
+        found = shard_windows(part)
+        good = found["repeated"] & ~found["many"]
+        spans.append(spans_of(found["row"][good], found["place"][good]))
+    out = pd.concat(spans)
     if str(key[0]).startswith("part"):
         _, one = np.unique(found["run"], return_index=True)
         # A window that is repeated here is known; it stands for all of its run. The others wait for their equals in other shards.
