@@ -19,7 +19,7 @@ from tessera.llm.common import small_batches, stored
 
 K, SCALE, QUERIES_EVERY = 20, 64, 20
 #: Cells of a component.
-CELLS = 32
+CELLS = 64
 #: Queries of a block, and blocks of the file that one task scans.
 QUERY_BLOCK, GROUP = 2048, 64
 
