@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import skew_join, stored
 
 ROUNDS = 60
 
@@ -13,8 +13,8 @@ ROUNDS = 60
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """large: each node ties its greater neighbours to its least one; else it ties itself and its smaller neighbours to it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    tied = both.join(least, "a")
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), "least")
+    tied = skew_join(both, least, "a", "n")  # the centre of a large star has very many edges
     if large:
         out = tied.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -25,13 +25,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, label (the least node of its component) for each node of edges a, b (long). Nodes on no edge with another node don't occur."""
     now = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    seen = None
     for _ in range(ROUNDS):
         now = stored(_star(_star(now, True), False), "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == seen:
+        # Settled: each node is tied to one other only, and that one to none.
+        ties, nodes = now.agg(F.count("*"), F.count_distinct("a")).first()
+        if ties == nodes and now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             break
-        seen = state
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

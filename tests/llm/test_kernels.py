@@ -64,3 +64,23 @@ def test_tokens_of_any_text(texts):
 def test_tokens_of_latin_text(text):
     tok = CachedTokenizer()
     assert tok.encode(text) == tok.whole(text)
+
+
+def test_components(spark):
+    from tessera.llm.graph import components
+
+    rng = np.random.default_rng(8)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(int(a), int(b)) for a, b in rng.integers(1000, 1200, (150, 2))]
+    parent = {n: n for e in edges for n in e}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    expected = {n: root(n) for a, b in edges if a != b for n in (a, b)}
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["label"] for r in got} == expected and len(got) == len(expected)
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
