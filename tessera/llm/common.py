@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,8 @@ HOT_KEYS = 1000
 #: Rows of an Arrow batch.
 BATCH = 1000
 
+_stored: list[str] = []
+
 
 def small_batches(spark: SparkSession) -> None:
     """Python workers get few rows at a time, as one text may be very long."""
@@ -25,9 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where none is set, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode a new one, where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -37,11 +40,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to a table in the shared folder and read again: it is computed once, and a lost executor loses none of it."""
     path = f"{shared_folder(df.sparkSession)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _stored.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def merged(tables: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)
+def release(spark: SparkSession) -> None:
+    """Deletes the tables that this session has stored; results that read them must have been written."""
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:

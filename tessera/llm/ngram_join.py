@@ -207,4 +207,14 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "links")
 
 
-QUERIES, SQL = {"op1_ngram_join": op1_ngram_join}, {}
+SQL_OP1 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '(?:[a-z0-9]|[^\x00-\x7F])+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 9 * c >= 4 * (x.n + y.n)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT r.doc_id, min(other) AS class_id, (SELECT count(*) FROM l WHERE l.a = r.doc_id) AS links FROM r GROUP BY r.doc_id
+"""
+
+QUERIES, SQL = {"op1_ngram_join": op1_ngram_join}, {"op1_ngram_join": SQL_OP1}

@@ -442,5 +442,18 @@ def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES, SQL = {"op6_suffixes": op6_suffixes}, {}
+SQL_OP6 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM d)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1),
+g AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 1 ELSE 0 END AS new FROM r),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS i FROM g),
+x AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY doc_id, i),
+y AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a)::BIGINT AS gone, count(*) AS spans FROM x GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string(list_transform(range(1, len(a) + 2), lambda j:
+    substr(h, CASE WHEN j = 1 THEN 1 ELSE 2 * b[j - 1] + 1 END, CASE WHEN j > len(a) THEN length(h) ELSE 2 * a[j] END - CASE WHEN j = 1 THEN 0 ELSE 2 * b[j - 1] END)), '') END)) AS kept_sha256
+FROM d LEFT JOIN y USING (doc_id)
+"""
 
+QUERIES, SQL = {"op6_suffixes": op6_suffixes}, {"op6_suffixes": SQL_OP6}

@@ -118,4 +118,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path)
 
 
-QUERIES, SQL = {"op5_warc": op5_warc}, {}
+SQL_OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, strlen(h) AS payload_bytes, sha1(h) AS s, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_reduce(list_transform(range(0, 8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, 5 * i + 1, 5))::BIGINT >> k) & 31)::INT + 1, 1)), lambda a, b: a || b)), lambda a, b: a || b) AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d
+"""
+
+QUERIES, SQL = {"op5_warc": op5_warc}, {"op5_warc": SQL_OP5}
