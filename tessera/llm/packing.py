@@ -26,7 +26,7 @@ END = 0
 #: Pieces of one length are ranked in so many parts.
 PARTS = 256
 #: Pricing steps of one round at most, and rounds.
-STEPS, ROUNDS = 800, 2
+STEPS, ROUNDS = 300, 2
 #: So few pieces are packed without a linear program.
 FEW = 200
 
