@@ -54,18 +54,20 @@ def release(spark: SparkSession) -> None:
 def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
     """left with the columns of right, which has one row for each key that isn't null (left outer join).
 
-    The HOT_KEYS heaviest keys by right's column weight are broadcast, a fixed number of rows. Rows of left that they serve
-    go on with a key that no row of right has, different for each row, so no task gets all rows of a hot key.
+    The HOT_KEYS heaviest keys by right's column weight are broadcast, a fixed number of rows. The join with the others has
+    a second key, 0 in right. Rows of left that need it no more, served already or without a key, have another number there,
+    from all of their columns: they match nothing, and no task gets all rows of a hot key.
     Right is read twice; give a stored table.
     """
     values = [c for c in right.columns if c != key]
     hot = right.where(F.col(key).isNotNull()).orderBy(F.col(weight).desc(), key).limit(HOT_KEYS)
     hot = hot.select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
-    cold = right.select(F.concat(F.lit("="), F.col(key).cast("string")).alias("_cold_key"), F.struct(*values).alias("_cold"))
-    spread = F.concat(F.lit("~"), F.xxhash64(*[c for c, t in left.dtypes if not t.startswith("map")]).cast("string"))
+    # Not a literal 0, which the optimizer would take out of the join's keys.
+    cold = right.select(F.col(key).alias("_cold_key"), F.pmod(F.xxhash64(key), F.lit(1)).alias("_cold_spread"), F.struct(*values).alias("_cold"))
+    spread = F.xxhash64(*[c for c, t in left.dtypes if not t.startswith("map")]).bitwiseOR(F.lit(1))
     got = left.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    got = got.withColumn("_cold_key", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), spread).otherwise(F.concat(F.lit("="), F.col(key).cast("string"))))
-    got = got.join(cold, "_cold_key", "left").withColumn("_got", F.coalesce("_hot", "_cold"))
+    got = got.withColumn("_spread", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    got = got.join(cold, (F.col(key) == F.col("_cold_key")) & (F.col("_spread") == F.col("_cold_spread")), "left").withColumn("_got", F.coalesce("_hot", "_cold"))
     return got.select(*left.columns, *[F.col("_got")[c].alias(c) for c in values])
 
 
