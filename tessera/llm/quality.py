@@ -91,10 +91,10 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, label and the features of the sampled labelled documents: entries and counts, as bytes. Rows without doc_id or label are left out."""
-    known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").alias("label"))
+    """doc_id, label and the features of the sampled labelled documents: entries and counts, as bytes. Rows without doc_id or label are left out; an id with both labels counts as 0."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
     picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
-    picked = picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"])
+    picked = picked[0].unionByName(picked[1])
 
     small_batches(docs.sparkSession)
 
