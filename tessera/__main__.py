@@ -3,6 +3,7 @@
     split      train_source1.tsv into a fitting and a validation part
     train      a model on a training folder; prints the threshold search
     infer      candidate_pairs and matching_results of a test folder, checked and zipped
+    benchmark  train on a sample of queries, their partners and distractors; prints recall and the search
     audit      recall, retention, precision and F0.5 of a model on a training folder
     validate   two result files against a test folder; exit code 1 if a rule is broken
 """
@@ -14,7 +15,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators import assign, labels, metrics, model, validate
+from tessera.operators import assign, blocking, labels, metrics, model, validate
 from tessera.plans import linkage
 from tessera.sources import sinks, tables
 
@@ -64,6 +65,19 @@ def infer(spark: SparkSession, args: argparse.Namespace) -> int:
     return report.exit_code
 
 
+def benchmark(spark: SparkSession, args: argparse.Namespace) -> int:
+    queries, pool, truth = sides(spark, args.data)
+    queries = labels.sample(queries, args.queries)
+    truth = truth.join(queries.select(queries["entity_id"].alias("source1_entity_id")), "source1_entity_id", "left_semi")
+    pool = labels.benchmark_pool(pool, truth, args.distractors)
+    config = linkage.configured(args.mode, trees=args.trees)
+    blocking.candidate_recall(linkage.candidates(config, queries, pool), truth).show(truncate=False)
+    _, threshold, search = linkage.train(config, queries, pool, truth, 0.5)
+    search.orderBy("threshold").show(100, False)
+    print(f"threshold {threshold}")
+    return 0
+
+
 def audit(spark: SparkSession, args: argparse.Namespace) -> int:
     queries, pool, truth = sides(spark, args.data)
     if truth is None:
@@ -80,7 +94,7 @@ def check(spark: SparkSession, args: argparse.Namespace) -> int:
     return report.exit_code
 
 
-COMMANDS = {"split": split, "train": train, "infer": infer, "audit": audit, "validate": check}
+COMMANDS = {"split": split, "train": train, "infer": infer, "benchmark": benchmark, "audit": audit, "validate": check}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -91,6 +105,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--mode", choices=linkage.MODES, default="A")
     parser.add_argument("--model", default="output/model")
     parser.add_argument("--trees", type=int)
+    parser.add_argument("--queries", type=int, default=5000, help="of the benchmark")
+    parser.add_argument("--distractors", type=int, default=250_000, help="of each source in the benchmark")
     parser.add_argument("--matches", default="output/matching_results.tsv")
     parser.add_argument("--candidates", default="output/candidate_pairs.tsv")
     parser.add_argument("--check-ids", action="store_true", help="also look ids up in the pool")

@@ -28,6 +28,7 @@ def test_train_infer_validate_audit(spark, folders, capsys):
     files = ["--matches", f"{out}/matching_results.tsv", "--candidates", f"{out}/candidate_pairs.tsv"]
     assert main(["validate", "--data", str(folders / "test"), *files, "--check-ids"]) == 0
     assert main(["validate", "--data", str(folders / "test"), "--matches", f"{out}/nothing", "--candidates", f"{out}/nothing"]) == 1
+    assert main(["benchmark", "--data", str(folders / "train"), "--trees", "2", "--queries", "20", "--distractors", "5"]) == 0
     assert main(["audit", "--data", str(folders / "train"), "--mode", "C"]) == 0
     assert "blocking_recall" in capsys.readouterr().out
     assert (folders / "r.zip").stat().st_size > 0
