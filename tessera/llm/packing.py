@@ -2,8 +2,8 @@
 
 The lengths of all pieces are counted; the configuration linear program over that histogram (how often is each pattern of
 lengths used) is solved by multiplicative weights, a knapsack dynamic program over the current prices giving the next
-pattern; the solution is rounded, what rounding leaves is solved again, and the last few pieces are packed best fit
-decreasing. The histogram has no more entries than the capacity, so the driver's work does not grow with the input; the
+pattern, until every length is covered; the solution is rounded, what rounding leaves is solved again, and the last few
+pieces are packed best fit decreasing. Where best fit decreasing alone needs fewer sequences, it is used. The histogram has no more entries than the capacity, so the driver's work does not grow with the input; the
 pieces find their sequence by their rank among pieces of equal length.
 """
 
@@ -25,8 +25,8 @@ CAPACITY = 2048
 END = 0
 #: Pieces of one length are ranked in so many parts.
 PARTS = 256
-#: Pricing steps of one round at most, and rounds.
-STEPS, ROUNDS = 300, 2
+#: How often the program is solved: for all pieces, then for what rounding leaves.
+ROUNDS = 2
 #: So few pieces are packed without a linear program.
 FEW = 200
 
@@ -57,40 +57,63 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
 
 
 def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The pattern of greatest price: how often each length occurs in it."""
-    best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        n = np.searchsorted(lengths, c, "right")
-        value = best[c - lengths[:n]] + price[:n]
-        i = int(value.argmax())
-        if value[i] > best[c - 1]:
-            best[c], took[c] = value[i], i
-        else:
-            best[c] = best[c - 1]
+    """The pattern of greatest price: how often each length occurs in it.
+
+    Lengths of which one at most fits beside itself come last, all at once. The others are added one by one, by price for
+    length; one that those before it make up for within its own length is left out, and the search ends when no remaining
+    length can improve on what is found. Both leave the greatest price as it is.
+    """
+    big = np.flatnonzero(2 * lengths > capacity)
+    small = np.flatnonzero(2 * lengths <= capacity)
+    density = price / lengths
+    small = small[np.lexsort((-lengths[small], -density[small]))]
+    beside = np.append(capacity - lengths[big], capacity)  # the room beside each big length, or beside none
+    worth = np.append(price[big], 0.0)
+    best, at = np.zeros(capacity + 1), np.arange(capacity + 1)
+    steps: list[tuple[int, np.ndarray]] = []  # a length, and the best before it
+    tried = 0
+    for i in small.tolist():
+        length, p = int(lengths[i]), float(price[i])
+        if p <= best[length] + 1e-12:
+            continue
+        if tried < 3 or tried % 4 == 0:
+            most = density[i] * at + np.maximum.accumulate(best - density[i] * at)
+            if (worth + best[beside]).max() >= (worth + most[beside]).max() - 1e-12:
+                break
+        tried += 1
+        steps.append((i, best))
+        best, n = best.copy(), 1
+        while n * length <= capacity:  # n more of it, or not: 1, 2, 4 and so on make every number
+            best[n * length :] = np.maximum(best[n * length :], best[: capacity + 1 - n * length] + n * p)
+            n *= 2
     out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-        else:
-            out[int(took[c])] += 1
-            c -= int(lengths[took[c]])
+    k = int((worth + best[beside]).argmax())
+    c = int(beside[k])
+    if k < len(big):
+        out[int(big[k])] = 1
+    for i, before in reversed(steps):
+        length = int(lengths[i])
+        turns = np.arange(c // length + 1)
+        n = int((before[c - turns * length] + turns * price[i]).argmax())
+        if n:
+            out[i] = n
+            c -= n * length
     return out
 
 
-def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[dict[int, int], float]]:
-    """Patterns and how often to use each, from multiplicative weights: a length's price falls as its pieces get covered."""
+def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
+    """Patterns and how often to use each, from multiplicative weights: a length's price falls as its pieces get covered.
+
+    Goes on until every length is covered. Each step covers half or more of the pieces of one length still priced, so there are two steps a length at most.
+    """
     covered, used = np.zeros(len(lengths)), []
     eta = np.log(len(lengths) + 1) / 2
-    for _ in range(steps):
-        need = np.flatnonzero(covered < count)
-        if not len(need):
-            break
+    while len(need := np.flatnonzero(covered < count)):
         price = (lengths[need] / capacity) * np.exp(-eta * covered[need] / count[need])
         pattern = {int(need[i]): a for i, a in knapsack(price, lengths[need], capacity).items()}
         at = np.fromiter(pattern, np.int64)
         a = np.fromiter(pattern.values(), np.float64)
-        step = float(np.min(np.maximum(count[at] / a, 1.0))) / 2
+        step = max(float(np.min(np.minimum(count[at] / 2, count[at] - covered[at]) / a)), 0.5)
         covered[at] += a * step
         used.append((pattern, step))
     return used
@@ -126,13 +149,9 @@ def best_fit(count: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
     return [(p, n) for by in room.values() for p, n in by.items() if n]
 
 
-def packed(count: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
-    """Patterns of lengths with the number of sequences of each, which hold exactly the pieces that count has by length."""
-    left = {k: n for k, n in count.items() if n}
-    out: list[tuple[Pattern, int]] = []
-    if left.get(capacity):
-        out.append((((capacity, 1),), left.pop(capacity)))
-    rest = dict(left)
+def program(count: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[Pattern, int]], dict[int, int]]:
+    """The rounded solution of the configuration program, and the pieces by length that it leaves."""
+    left, out = {k: n for k, n in count.items() if n}, []
     for _ in range(ROUNDS):
         if sum(left.values()) < FEW:
             break
@@ -148,9 +167,18 @@ def packed(count: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Patter
         left = {k: n for k, n in left.items() if n}
         if sum(left.values()) > 0.95 * before:
             break
-    out += best_fit(left, capacity)
-    plain = out[: 1 if count.get(capacity) else 0] + best_fit(rest, capacity)
-    return out if sum(n for _, n in out) <= sum(n for _, n in plain) else plain
+    return out, left
+
+
+def packed(count: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Patterns of lengths with the number of sequences of each, which hold exactly the pieces that count has by length."""
+    rest = {k: n for k, n in count.items() if n}
+    full: list[tuple[Pattern, int]] = []
+    if rest.get(capacity):
+        full.append((((capacity, 1),), rest.pop(capacity)))
+    solved, left = program(rest, capacity)
+    solved, plain = solved + best_fit(left, capacity), best_fit(rest, capacity)
+    return full + (solved if sum(n for _, n in solved) <= sum(n for _, n in plain) else plain)
 
 
 def places(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, int]]:

@@ -384,3 +384,28 @@ def test_knapsack_is_best():
     value = sum(price[i] * a for i, a in got.items())
     best = max(sum(x * p for x, p in zip(c, price, strict=True)) for c in itertools.product(range(7), repeat=3) if sum(x * n for x, n in zip(c, lengths, strict=True)) <= 20)
     assert value == pytest.approx(best)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_knapsack_equals_plain_program(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.array(sorted(rng.choice(np.arange(1, 101), 40, replace=False).tolist()))
+    price = lengths / 100 * (np.exp(-3 * rng.random(40)) if seed else 1.0)
+    best = [0.0] * 101
+    for c in range(1, 101):
+        best[c] = max([best[c - 1], *(best[c - k] + p for k, p in zip(lengths.tolist(), price.tolist(), strict=True) if k <= c)])
+    got = packing.knapsack(price, lengths, 100)
+    assert sum(int(lengths[i]) * a for i, a in got.items()) <= 100
+    assert sum(price[i] * a for i, a in got.items()) == pytest.approx(best[100])
+
+
+def test_program_covers_every_length():
+    lengths = np.arange(1, 1024)
+    count = np.random.default_rng(5).integers(50, 150, len(lengths)).astype(float)
+    covered = np.zeros(len(lengths))
+    for pattern, step in packing.fractional(lengths, count, 1024):
+        for i, a in pattern.items():
+            covered[i] += a * step
+    assert (covered >= count).all()
+    _, left = packing.program(dict(zip(lengths.tolist(), count.astype(int).tolist(), strict=True)), 1024)
+    assert sum(left.values()) < 0.02 * count.sum()
