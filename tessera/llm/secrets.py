@@ -25,11 +25,21 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Class of characters, window, and bits a character from which a window counts.
+LOWER, UPPER, DIGIT = str.islower, str.isupper, str.isdigit
+#: Class of characters, window, bits a character from which a window counts, and kinds of characters that a span must hold.
+#: Bits for windows of 20 are what about 99 of 100 random windows of that alphabet reach (hex 2.90, base32 3.32, lower case
+#: with digits 3.38, mixed and base64 3.65). The last class also takes separators of either sort and any case.
 CLASSES = (
-    (re.compile(r"[0-9A-Fa-f]{20,}"), 20, 3.1),
-    (re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}"), 24, 4.0),
+    (re.compile(r"[0-9A-Fa-f]{20,}"), 20, 2.9, (str.isalpha, DIGIT)),
+    (re.compile(r"[0-9a-z]{20,}"), 20, 3.38, (LOWER, DIGIT)),
+    (re.compile(r"[0-9A-Z]{20,}={0,6}"), 20, 3.32, (UPPER, DIGIT)),
+    (re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.65, (LOWER, UPPER, DIGIT)),
+    (re.compile(r"[A-Za-z0-9+/]{20,}={0,2}"), 20, 3.65, (LOWER, UPPER, DIGIT)),
+    (re.compile(r"[A-Za-z0-9_-]{20,}={0,2}"), 20, 3.65, (LOWER, UPPER, DIGIT)),
+    (re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}"), 24, 4.0, (str.isalpha, DIGIT)),
 )
+#: What holds any run of a class.
+RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,6}")
 #: Not secrets, however even their characters: placeholders, counting rows, unique ids, digits or letters alone, paths of words.
 ALLOWED = (
     re.compile(r"(?i)example|sample|placeholder|changeme|your[_-]|dummy|redacted|x{6,}"),
@@ -76,17 +86,18 @@ def high_windows(string: str, window: int, least: float) -> list[tuple[int, int]
 
 
 def entropy_spans(text: str) -> list[Span]:
-    """Spans of even characters that hold both digits and letters; those of both classes are joined where they overlap."""
+    """Spans of even characters that hold both digits and letters; those of all classes are joined where they overlap."""
     found = []
-    for pattern, window, least in CLASSES:
-        for m in pattern.finditer(text):
-            whole = m.group()
-            if any(a.search(whole) for a in ALLOWED):
-                continue
-            for start, end in high_windows(whole, window, least):
-                part = whole[start:end]
-                if any(c.isdigit() for c in part) and any(c.isalpha() for c in part):
-                    found.append((m.start() + start, m.start() + end))
+    for run in RUN.finditer(text):
+        for pattern, window, least, kinds in CLASSES:
+            for m in pattern.finditer(text, run.start(), run.end()):
+                whole = m.group()
+                if any(a.search(whole) for a in ALLOWED):
+                    continue
+                for start, end in high_windows(whole, window, least):
+                    part = whole[start:end]
+                    if all(any(map(kind, part)) for kind in kinds):
+                        found.append((m.start() + start, m.start() + end))
     out: list[Span] = []
     for start, end in sorted(found):
         if out and start < out[-1][1]:

@@ -104,6 +104,22 @@ def test_windows_equal_entropy_from_scratch():
         assert {p for a, b in secrets.high_windows(string, window, least) for p in range(a, b)} == good
 
 
+LOWERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ALPHABETS = {"lower": LOWERS + DIGITS, "base32": LOWERS.upper() + "234567", "mixed": LOWERS + LOWERS.upper() + DIGITS, "base64": LOWERS + LOWERS.upper() + DIGITS + "+/", "url": LOWERS + LOWERS.upper() + DIGITS + "_-"}
+
+
+@pytest.mark.parametrize("size", [20, 24, 32, 40])
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_random_keys_are_found(name, size):
+    rng = np.random.default_rng(size)
+    keys = ["".join(rng.choice(list(ALPHABETS[name]), size)) for _ in range(400)]
+    assert sum(bool(secrets.entropy_spans(f"see {k} there")) for k in keys) >= 0.93 * len(keys)
+
+
+def test_clean_runs_are_left():
+    assert not secrets.entropy_spans("see /articles/2023/04/some-long-title-of-a-page and internationalization2024 550e8400-e29b-41d4-a716-446655440000 AAAAAAAAAAAAAAAAAAAAAAA1")
+
+
 def test_scan_and_redact(odd, none):
     found = secrets.scan(odd).collect()
     rows = odd.select("doc_id", "text").collect()
