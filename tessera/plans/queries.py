@@ -175,6 +175,21 @@ def block_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.block_key(text.clean_name("text", False)).alias("block_key"))
 
 
+def _folded(name: str, column: Callable[[str], F.Column]) -> None:
+    """The whole cleaning with accent folding, for which there is no SQL."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", column("text").alias(name.removesuffix("_folded")))
+
+    run.__name__ = name
+    query()(run)
+
+
+_folded("clean_address_folded", text.clean_address)
+_folded("clean_name_folded", text.clean_name)
+_folded("block_key_folded", lambda c: text.block_key(text.clean_name(c)))
+
+
 @query()
 def strip_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.strip_accents("text").alias("folded"))
@@ -245,12 +260,12 @@ WORD_NGRAMS = f"list_concat({_WORDS}, list_transform(range(1, len({_WORDS})), la
 
 @query(f"WITH {sql_tfidf(PARTS, WORD_NGRAMS, blocking.MIN_DF, blocking.VOCABULARY, blocking.TFIDF_K)} SELECT source1_entity_id, candidate_entity_id, score, blocking_rank FROM cands")
 def tfidf_word_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.tfidf_topk(*tables.part_sides(spark, sf_dir), fold=False)
+    return blocking.tfidf_topk(*tables.part_sides(spark, sf_dir))
 
 
 @query(f"WITH {sql_tfidf(PARTS, WORD_NGRAMS, 2, blocking.VOCABULARY, 1)} SELECT source1_entity_id, candidate_entity_id, score, blocking_rank FROM cands WHERE score >= 0.76")
 def tfidf_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.best_match(*tables.part_sides(spark, sf_dir), fold=False)
+    return blocking.best_match(*tables.part_sides(spark, sf_dir))
 
 
 @query()
