@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.operators import assign, blocking, labels, metrics, model, validate
 from tessera.plans import linkage
 from tessera.sources import sinks, tables
+from tessera.sources.shared import stored
 
 
-def sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    got = tables.read_split(spark, folder)
+def sides(spark: SparkSession, folder: str, mode: str = "") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    got = tables.read_split(spark, folder, missing_words=mode in linkage.MISSING_WORDS)
     return got["source1"], tables.pool(got["source2"], got["source3"]), got.get("ground_truth")
 
 
@@ -34,7 +35,7 @@ def split(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> int:
     config = linkage.configured(args.mode, trees=args.trees)
-    made, threshold, search = linkage.train(config, *sides(spark, args.data))
+    made, threshold, search = linkage.train(config, *sides(spark, args.data, args.mode))
     model.save(made, threshold, args.model, spark)
     sinks.write_search(search, f"{args.out}/threshold_search")
     search.orderBy("threshold").show(100, False)
@@ -51,27 +52,30 @@ def matched(spark: SparkSession, args: argparse.Namespace, queries: DataFrame, p
 
 
 def infer(spark: SparkSession, args: argparse.Namespace) -> int:
-    queries, pool, _ = sides(spark, args.data)
+    queries, pool, _ = sides(spark, args.data, args.mode)
     candidates, matches = matched(spark, args, queries, pool)
     sinks.write_pairs(candidates, f"{args.out}/candidates")
     sinks.write_pairs(matches, f"{args.out}/predictions")
-    candidates, matches = spark.read.parquet(f"{args.out}/candidates"), spark.read.parquet(f"{args.out}/predictions")
+    matches = spark.read.parquet(f"{args.out}/predictions")
     sinks.write_lists(assign.collected(candidates, queries, "blocking_rank"), f"{args.out}/candidate_pairs.tsv", validate.CANDIDATE_HEADER)
     sinks.write_lists(assign.collected(matches, queries, "probability", False), f"{args.out}/matching_results.tsv", validate.MATCHING_HEADER)
     report = validate.validate_files(spark, f"{args.out}/matching_results.tsv", f"{args.out}/candidate_pairs.tsv", queries, pool)
     print(*report.errors, *report.warnings, sep="\n")
+    for name, table, order in (("candidates", candidates, "blocking_rank"), ("matches", matches, "probability")):
+        print(name, metrics.output_counts(assign.collected(table, queries, order)).first().asDict())
     if args.zip and not report.exit_code:
         sinks.package(args.zip, {f"output/{n}": f"{args.out}/{n}" for n in ("candidate_pairs.tsv", "matching_results.tsv")}, args.add)
     return report.exit_code
 
 
 def benchmark(spark: SparkSession, args: argparse.Namespace) -> int:
-    queries, pool, truth = sides(spark, args.data)
+    queries, pool, truth = sides(spark, args.data, args.mode)
     queries = labels.sample(queries, args.queries)
     truth = truth.join(queries.select(queries["entity_id"].alias("source1_entity_id")), "source1_entity_id", "left_semi")
     pool = labels.benchmark_pool(pool, truth, args.distractors)
     config = linkage.configured(args.mode, trees=args.trees)
-    blocking.candidate_recall(linkage.candidates(config, queries, pool), truth).show(truncate=False)
+    pairs = stored(linkage.candidates(config, queries, pool), "candidates")
+    blocking.candidate_recall(pairs, truth).show(truncate=False)
     _, threshold, search = linkage.train(config, queries, pool, truth, 0.5)
     search.orderBy("threshold").show(100, False)
     print(f"threshold {threshold}")
@@ -79,7 +83,7 @@ def benchmark(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> int:
-    queries, pool, truth = sides(spark, args.data)
+    queries, pool, truth = sides(spark, args.data, args.mode)
     if truth is None:
         raise ValueError(f"{args.data} has no ground truth")
     candidates, matches = matched(spark, args, queries, pool)
@@ -106,7 +110,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--model", default="output/model")
     parser.add_argument("--trees", type=int)
     parser.add_argument("--queries", type=int, default=5000, help="of the benchmark")
-    parser.add_argument("--distractors", type=int, default=250_000, help="of each source in the benchmark")
+    parser.add_argument("--distractors", type=int, default=labels.DISTRACTORS, help="of each source in the benchmark")
     parser.add_argument("--matches", default="output/matching_results.tsv")
     parser.add_argument("--candidates", default="output/candidate_pairs.tsv")
     parser.add_argument("--check-ids", action="store_true", help="also look ids up in the pool")

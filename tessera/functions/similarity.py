@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -50,23 +51,44 @@ def token_set_ratio(a: str, b: str) -> float:
     return best
 
 
+def _best_piece(a: str, b: str, best: float) -> float:
+    """The best ratio of a, which is no longer than b, with a piece of b; pieces whose letters cannot reach what is found are not compared."""
+    need, have, common = Counter(a), Counter(), 0
+    for i in range(1 - len(a), len(b)):
+        if i + len(a) <= len(b):
+            c = b[i + len(a) - 1]
+            have[c] += 1
+            common += have[c] <= need[c]
+        if i > 0:
+            c = b[i - 1]
+            common -= have[c] <= need[c]
+            have[c] -= 1
+        piece = min(i + len(a), len(b)) - max(i, 0)
+        if 200.0 * common / (len(a) + piece) > best:
+            best = max(best, ratio(a, b[max(0, i) : i + len(a)]))
+    return best
+
+
 def partial_ratio(a: str, b: str) -> float:
     """The best ratio of the shorter string with a piece of the longer one of its length, or with a shorter one at either end."""
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
-    found = max(ratio(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b)))
-    if len(a) == len(b):
-        found = max(found, max(ratio(b, a[max(0, i) : i + len(b)]) for i in range(1 - len(b), len(a))))
-    return found
+    found = _best_piece(a, b, 0.0)
+    return _best_piece(b, a, found) if len(a) == len(b) else found
 
 
 def partial_token_ratio(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
+    """100 with a token in common; else the best partial ratio of the sorted tokens, or, where tokens repeat, of the distinct ones."""
+    one, two = a.split(), b.split()
+    x, y = set(one), set(two)
     if x & y:
         return 100.0
-    return partial_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+    found = partial_ratio(" ".join(sorted(one)), " ".join(sorted(two)))
+    if len(x) < len(one) or len(y) < len(two):
+        found = max(found, partial_ratio(" ".join(sorted(x)), " ".join(sorted(y))))
+    return found
 
 
 def wratio(a: str, b: str) -> float:
@@ -111,14 +133,22 @@ def jaro_winkler(a: str, b: str) -> float:
 KERNELS = {f.__name__: f for f in (ratio, token_sort_ratio, token_set_ratio, partial_ratio, wratio, jaro_winkler)}
 
 
+#: Letters of a pair, up to which its similarity is remembered: with as many pairs as there may be, some 20 MB.
+SHORT = 200
+
+
 @lru_cache(50_000)
 def _known(name: str, a: str, b: str) -> float:
     return KERNELS[name](a, b)
 
 
+def similarity(name: str, a: str, b: str) -> float:
+    return _known(name, a, b) if len(a) + len(b) <= SHORT else KERNELS[name](a, b)
+
+
 def _column(name: str) -> Callable[[Column, Column], Column]:
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([round(_known(name, x, y), 9) for x, y in zip(a, b, strict=True)], dtype="float64")
+        return pd.Series([round(similarity(name, x, y), 9) for x, y in zip(a, b, strict=True)], dtype="float64")
 
     return lambda a, b: F.pandas_udf(lambda x, y: run(x, y), DoubleType())(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
 

@@ -54,6 +54,13 @@ def clean_canonical(c: Column | str) -> Column:
     return replaced(collapse(plain(_full(c))), SHORT_FORMS)
 
 
+def canonical_tokens(*parts: Column | str, least: int = 2) -> Column:
+    """The tokens of clean_canonical over parts joined by a blank: what stands between other characters than a-z and 0-9, with one regular expression instead of seven."""
+    cut = F.filter(F.split(F.lower(F.concat_ws(" ", *[_full(p) for p in parts])), "[^a-z0-9]+"), lambda t: F.length(t) >= least)
+    short = lambda t: reduce(lambda x, f: x.when(t == f[0], F.lit(f[1])), SHORT_FORMS[1:], F.when(t == SHORT_FORMS[0][0], F.lit(SHORT_FORMS[0][1]))).otherwise(t)
+    return F.transform(cut, short)
+
+
 def clean_expanded(c: Column | str) -> Column:
     return collapse(replaced(plain(_full(c)), LONG_FORMS))
 

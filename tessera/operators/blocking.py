@@ -2,6 +2,9 @@
 
 Country stands in every join and grouping key next to the token, so pairs never cross a border and no country has to fit in
 one task; a null country matches nothing. Scores are rounded before they are ordered, ties go to the smaller id.
+
+A join of tokens makes far more rows than it reads, so its partitions are counted by the rows that come out, and a token that
+alone makes more than a task should is dealt out to several tasks by query.
 """
 
 from __future__ import annotations
@@ -12,10 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
+from tessera.operators.order import first_rows
+from tessera.sources.shared import stored
 
 K, TOKEN_CAP, DF_CAP = 20, 15, 20_000
 #: Of the TF-IDF modes: candidates, least document frequency, vocabulary.
 TFIDF_K, MIN_DF, VOCABULARY = 12, 5, 30_000
+#: Rows that a task of the join of tokens makes, about.
+PAIRS = 1_000_000
 
 
 def blocking_text() -> Column:
@@ -28,7 +35,7 @@ def tfidf_text(fold: bool = True) -> Column:
 
 def entity_tokens(entities: DataFrame, words: Column | None = None) -> DataFrame:
     """entity_id, country, token: each different token of a row once."""
-    words = text.tokens(blocking_text()) if words is None else words
+    words = text.canonical_tokens("business_name", "business_address") if words is None else words
     return entities.where(F.col("country").isNotNull()).select("entity_id", "country", F.explode(F.array_distinct(words)).alias("token"))
 
 
@@ -53,23 +60,52 @@ def ranked(scores: DataFrame, k: int) -> DataFrame:
     return scores.withColumn("blocking_rank", F.row_number().over(order)).where(F.col("blocking_rank") <= k)
 
 
+def summed(asked: DataFrame, postings: DataFrame, value: Column) -> DataFrame:
+    """source1_entity_id, candidate_entity_id, score: value, summed over the tokens that a query and a pool row have in common.
+
+    asked: source1_entity_id, country, token, df (the rows of that token in postings) and more columns, a stored table, as it
+    is read twice; postings: candidate_entity_id, country, token and more. The rows of a query stand in one partition of the
+    result.
+    """
+    key = ["country", "token"]
+    load = asked.groupBy(*key).agg((F.count("*") * F.first("df")).alias("_rows")).withColumn("_parts", F.ceil(F.col("_rows") / PAIRS).cast("int"))
+    rows, hot = load.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count_if(F.col("_parts") > 1)).first()
+    tasks = max(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PAIRS))
+    if hot:
+        parts, one = stored(load.where("_parts > 1").select(*key, "_parts"), "hot"), F.lit(1)
+        asked = asked.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64("source1_entity_id"), F.coalesce("_parts", one)).cast("int"))
+        postings = postings.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", one) - 1))).drop("_parts")
+        key = [*key, "_part"]
+    found = asked.drop("df", "_parts").repartition(tasks, *key).join(postings.repartition(tasks, *key), key).select("source1_entity_id", "candidate_entity_id", value.alias("_value"))
+    pairs = found.repartition(tasks, "source1_entity_id").groupBy("source1_entity_id", "candidate_entity_id")
+    return pairs.agg(F.round(F.sum("_value"), 6).alias("score"))
+
+
 def block_topk(queries: DataFrame, pool: DataFrame, k: int = K, token_cap: int = TOKEN_CAP, df_cap: int = DF_CAP) -> DataFrame:
     """source1_entity_id, candidate_entity_id, score, blocking_rank by the sum of the idf of a query's rarest tokens that a pool row has.
 
     A pool id on several rows counts on each. Queries without an indexed token have no rows.
     """
-    tokens = entity_tokens(pool)
-    idf = token_idf(tokens, country_sizes(pool), df_cap)
+    return index_topk(queries, *token_index(pool, df_cap), k, token_cap)
+
+
+def token_index(pool: DataFrame, df_cap: int = DF_CAP) -> tuple[DataFrame, DataFrame]:
+    """The pool's tokens (entity_id, country, token), stored, and their idf."""
+    tokens = stored(entity_tokens(pool), "tokens")
+    return tokens, token_idf(tokens, country_sizes(pool), df_cap)
+
+
+def index_topk(queries: DataFrame, tokens: DataFrame, idf: DataFrame, k: int = K, token_cap: int = TOKEN_CAP) -> DataFrame:
+    """block_topk with an index of the pool."""
     rare = Window.partitionBy("entity_id").orderBy(F.desc("idf"), "token")
     asked = entity_tokens(queries).join(idf, ["country", "token"]).withColumn("_n", F.row_number().over(rare)).where(F.col("_n") <= token_cap)
-    asked = asked.select(F.col("entity_id").alias("source1_entity_id"), "country", "token", "idf")
-    found = asked.join(tokens.withColumnRenamed("entity_id", "candidate_entity_id"), ["country", "token"])
-    scores = found.groupBy("source1_entity_id", "candidate_entity_id").agg(F.round(F.sum("idf"), 6).alias("score"))
+    asked = stored(asked.select(F.col("entity_id").alias("source1_entity_id"), "country", "token", "idf", "df"), "asked")
+    scores = summed(asked, tokens.withColumnRenamed("entity_id", "candidate_entity_id"), F.col("idf"))
     return ranked(scores, k).select("source1_entity_id", "candidate_entity_id", "score", "blocking_rank")
 
 
 def tfidf_vectors(pool: DataFrame, queries: DataFrame, body: Column, terms: Callable[[str], Column], min_df: int = MIN_DF, vocabulary: int | None = VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    """Rows entity_id, country, token, weight of pool and queries, vectors of length 1.
+    """Rows entity_id, country, token, weight, df (in the pool) of pool and queries, vectors of length 1, stored.
 
     Weight: (1 + ln tf) idf. The vocabulary of a country is its most frequent terms, ties to the lesser term, that stand on
     min_df pool rows or more; queries keep only these.
@@ -80,28 +116,28 @@ def tfidf_vectors(pool: DataFrame, queries: DataFrame, body: Column, terms: Call
         rows = rows.select("entity_id", "country", F.explode(terms("_body")).alias("token"))
         return rows.groupBy("entity_id", "country", "token").agg(F.count("*").alias("tf"))
 
-    counts = counted(pool)
+    counts = stored(counted(pool), "terms")
     sizes = country_sizes(pool)
     stats = counts.groupBy("country", "token").agg(F.count("*").alias("df"), F.sum("tf").alias("_all")).where(F.col("df") >= min_df)
     if vocabulary is not None:
-        order = Window.partitionBy("country").orderBy(F.desc("_all"), "token")
-        stats = stats.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= vocabulary)
-    idf = stats.join(sizes, "country").select("country", "token", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+        stats = stored(stats, "vocabulary")
+        if stats.groupBy("country").count().where(F.col("count") > vocabulary).limit(1).count():
+            stats = first_rows(stats, ["country"], F.struct(-F.col("_all"), F.left("token", F.lit(2))), [F.desc("_all"), F.col("token")], vocabulary)
+    idf = stored(stats.join(sizes, "country").select("country", "token", "df", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf")), "idf")
 
     def weighed(rows: DataFrame) -> DataFrame:
         rows = rows.join(idf, ["country", "token"]).withColumn("_w", (1 + F.log("tf")) * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("entity_id")))
-        return rows.select("entity_id", "country", "token", F.round(F.col("_w") / norm, 9).alias("weight"))
+        return stored(rows.select("entity_id", "country", "token", F.round(F.col("_w") / norm, 9).alias("weight"), "df"), "vectors")
 
     return weighed(counts), weighed(counted(queries))
 
 
 def cosine(pool_vectors: DataFrame, query_vectors: DataFrame) -> DataFrame:
     """source1_entity_id, candidate_entity_id, score above 0: the sparse product, joined on terms and summed."""
-    left = query_vectors.select(F.col("entity_id").alias("source1_entity_id"), "country", "token", F.col("weight").alias("_q"))
+    left = query_vectors.select(F.col("entity_id").alias("source1_entity_id"), "country", "token", F.col("weight").alias("_q"), "df")
     right = pool_vectors.select(F.col("entity_id").alias("candidate_entity_id"), "country", "token", F.col("weight").alias("_p"))
-    both = left.join(right, ["country", "token"]).groupBy("source1_entity_id", "candidate_entity_id")
-    return both.agg(F.round(F.sum(F.col("_q") * F.col("_p")), 6).alias("score")).where("score > 0")
+    return summed(left, right, F.col("_q") * F.col("_p")).where("score > 0")
 
 
 def tfidf_topk(queries: DataFrame, pool: DataFrame, k: int = TFIDF_K, min_df: int = MIN_DF, vocabulary: int | None = VOCABULARY, fold: bool = True) -> DataFrame:

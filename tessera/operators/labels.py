@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.order import first_rows
+
+#: Of each source in the benchmark's pool.
+DISTRACTORS = 250_000
+
 
 def truth_pairs(truth: DataFrame) -> DataFrame:
     return truth.select("source1_entity_id", F.explode("matched").alias("candidate_entity_id")).distinct()
@@ -49,10 +54,9 @@ def sample(entities: DataFrame, n: int, key: str = "entity_id", seed: int = 42)
     return entities.orderBy(hash_digits(key, seed), key).limit(n)
 
 
-def benchmark_pool(pool: DataFrame, truth: DataFrame, distractors: int, seed: int = 42) -> DataFrame:
-    """All true partners, and of each source as many of its other rows."""
+def benchmark_pool(pool: DataFrame, truth: DataFrame, distractors: int = DISTRACTORS, seed: int = 42) -> DataFrame:
+    """All true partners, and of each source as many of its other rows, those of the least hashes."""
     partners = truth_pairs(truth).select(F.col("candidate_entity_id").alias("entity_id")).distinct()
-    source = F.substring("entity_id", 1, 3)
-    order = Window.partitionBy(source).orderBy(hash_digits("entity_id", seed), "entity_id")
-    others = pool.join(partners, "entity_id", "left_anti").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= distractors).drop("_n")
-    return pool.join(partners, "entity_id", "left_semi").unionByName(others)
+    others = pool.join(partners, "entity_id", "left_anti").withColumns({"_source": F.substring("entity_id", 1, 3), "_hash": hash_digits("entity_id", seed)})
+    others = first_rows(others, ["_source"], F.left("_hash", F.lit(4)), [F.col("_hash"), F.col("entity_id")], distractors)
+    return pool.join(partners, "entity_id", "left_semi").unionByName(others.drop("_source", "_hash"))

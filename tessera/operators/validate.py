@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The headers of the two files.
 MATCHING_HEADER, CANDIDATE_HEADER = ("source1_entity_id", "matched_entity_ids"), ("source1_entity_id", "candidate_entity_ids")
-EXAMPLES = 5
+EXAMPLES, PARTS = 5, 256
 
 
 @dataclass
@@ -33,16 +33,16 @@ def header_problem(line: str | None, expected: tuple[str, str]) -> str | None:
 
 
 def parsed(lines: DataFrame) -> DataFrame:
-    """s1, ids (in order, empty ones kept) of the lines (column value) of a body that hold a tab."""
+    """s1, ids (in order, empty ones kept) of the lines (column value) of a body that hold a tab, and at where lines are numbered."""
     rest = F.regexp_replace("value", r"^[^\t]*\t", "")
     ids = F.when(F.trim(F.regexp_replace(rest, r"\s+", " ")) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ",", -1))
-    return lines.where(F.col("value").contains("\t")).select(F.split("value", "\t")[0].alias("s1"), ids.alias("ids"))
+    return lines.where(F.col("value").contains("\t")).select(F.split("value", "\t")[0].alias("s1"), ids.alias("ids"), *(["at"] if "at" in lines.columns else []))
 
 
 def violations(lines: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None) -> DataFrame:
     """rule, offender: each different offender of each rule. required and valid_ids have entity_id.
 
-    no_tab, duplicate_row, repeated_id (by query), self_match, wrong_prefix, unknown_id (only with valid_ids), missing_row,
+    not_utf8 (by line, its bad bytes replaced), no_tab, duplicate_row, repeated_id (by query), self_match, wrong_prefix, unknown_id (only with valid_ids), missing_row,
     extra_row. An id that breaks the prefix rules is not looked up.
     """
     body = parsed(lines)
@@ -52,6 +52,7 @@ def violations(lines: DataFrame, required: DataFrame, valid_ids: DataFrame | Non
     rows = body.select(F.col("s1").alias("entity_id"))
     need = required.select("entity_id")
     out = [
+        of("not_utf8", lines.where(~F.is_valid_utf8("value")).select(F.make_valid_utf8("value").alias("value")), "value"),
         of("no_tab", lines.where(~F.col("value").contains("\t") & (F.trim("value") != "")), "value"),
         of("duplicate_row", rows.groupBy("entity_id").count().where("count > 1"), "entity_id"),
         of("repeated_id", body.where(F.size("ids") != F.size(F.array_distinct("ids"))), "s1"),
@@ -69,29 +70,44 @@ def violations(lines: DataFrame, required: DataFrame, valid_ids: DataFrame | Non
 
 
 def summary(found: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """rule, offenders, examples (the first few in order, joined by commas)."""
-    from pyspark.sql import Window
+    """rule, offenders, examples (the first few in order, joined by commas). Offenders of a rule are first cut to the examples of each of PARTS parts."""
+    part = found.withColumn("_part", F.pmod(F.xxhash64("offender"), F.lit(PARTS)))
+    part = part.withColumn("_n", F.row_number().over(Window.partitionBy("rule", "_part").orderBy("offender")))
+    part = part.groupBy("rule", "_part").agg(F.count("*").alias("offenders"), F.collect_list(F.when(F.col("_n") <= examples, F.col("offender"))).alias("first"))
+    first = F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, examples)
+    return part.groupBy("rule").agg(F.sum("offenders").alias("offenders"), F.array_join(first, ",").alias("examples"))
 
-    first = found.withColumn("_n", F.row_number().over(Window.partitionBy("rule").orderBy("offender")))
-    return first.groupBy("rule").agg(F.count("*").alias("offenders"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("_n") <= examples, F.col("offender")))), ",").alias("examples"))
+
+def last_lines(lines: DataFrame) -> DataFrame:
+    """s1, ids of the last line of each query, from numbered lines (columns at, s1, ids)."""
+    return lines.groupBy("s1").agg(F.max_by("ids", "at").alias("ids"))
 
 
 def outside_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
-    """s1 of lines whose matches are not all among its candidates; both as parsed(). Several lines of a query count together."""
-    each = lambda df, name: df.groupBy("s1").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias(name))
+    """s1 of lines whose matches are not all among its candidates; both as parsed(). Of several lines of a query the last counts, where lines are numbered (column at)."""
+    each = lambda df, name: (last_lines(df) if "at" in df.columns else df).select("s1", F.col("ids").alias(name))
     got = each(matches, "_m").join(each(candidates, "_c"), "s1", "left")
     return got.where(F.size(F.array_except("_m", F.coalesce("_c", F.array().cast("array<string>")))) > 0).select("s1")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, at: the lines of a file or of the files of a folder by name, at in their order: the file's place and the line's within it.
+
+    Files are read whole lines at a time in pieces; a piece's number and its lines' ids grow along a file, and files are ordered by name.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_id"))
+    return lines.select("value", F.struct("_file", "_from", "_id").alias("at"))
+
+
 def _body(spark: SparkSession, path: str, expected: tuple[str, str]) -> tuple[str | None, DataFrame | None]:
-    """The problem of a file's header, or its lines after it. Only lines equal to the header are left out, which no contract row can be."""
+    """The problem of a file's header, or its lines after it; only its first line is its header."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
         return "file not found", None
-    lines = spark.read.text(path)
-    first = lines.first()
-    problem = header_problem(first[0] if first else None, expected)
-    return problem, None if problem else lines.where(F.col("value") != first[0])
+    lines = numbered_lines(spark, path)
+    first = lines.agg(F.min("at").alias("at"), F.min_by("value", "at").alias("value")).first()
+    problem = header_problem(first["value"], expected)
+    return problem, None if problem else lines.where(F.col("at") > F.struct(*[F.lit(x).alias(n) for n, x in first["at"].asDict().items()]))
 
 
 def validate_files(spark: SparkSession, matching: str, candidate: str | None, source1: DataFrame, valid_ids: DataFrame | None = None) -> Report:

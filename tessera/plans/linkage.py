@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame
 
 from tessera.functions import features
 from tessera.operators import assign, blocking, labels, metrics, model
+from tessera.sources import tables
+from tessera.sources.shared import stored
+
+#: Fixed value: mode B's threshold where nothing can be searched.
+NO_PAIRS = 0.85
+#: Modes whose entity files write missing values as words.
+MISSING_WORDS = ("A", "D")
 
 
 @dataclass(frozen=True)
@@ -50,21 +57,32 @@ def candidates(config: LinkConfig, queries: DataFrame, pool: DataFrame) -> DataF
 
 
 def pair_features(config: LinkConfig, pairs: DataFrame, queries: DataFrame, pool: DataFrame) -> DataFrame:
+    """Mode B leaves out candidates without a row in the pool; the others take their text as empty. Of several rows of an id the least counts."""
     build = {"A": features.mode_a, "B": features.mode_b, "D": features.mode_d}[config.mode]
-    return build(features.with_sides(pairs, queries, pool.dropDuplicates(["entity_id"])))
+    return build(features.with_sides(pairs, tables.first_of_each(queries), tables.first_of_each(pool), inner=config.mode == "B"))
 
 
 def train(config: LinkConfig, queries: DataFrame, pool: DataFrame, truth: DataFrame, holdout: float = 0.25) -> tuple[PipelineModel, float, DataFrame]:
-    """A model, its threshold, and the search; fitted on a share of the queries, searched on the others, never on the same."""
-    pairs = labels.labelled(candidates(config, queries, pool), truth)
+    """A model, its threshold, and the search; fitted on a share of the queries, searched on the others, never on the same.
+
+    Mode B without a pair to search on has the one threshold NO_PAIRS, of value 0.
+    """
+    pairs = stored(labels.labelled(candidates(config, queries, pool), truth), "pairs")
     fitted, rest = labels.split(pairs, 1 - holdout, "source1_entity_id")
-    made = model.train(pair_features(config, labels.hard_negatives(fitted, config.negatives), queries, pool), config.mode, config.trees, config.rate)
-    claims = scored(config, made, pair_features(config, rest, queries, pool))
+    examples = stored(pair_features(config, labels.hard_negatives(fitted, config.negatives), queries, pool), "examples")
+    made = model.train(examples, config.mode, config.trees, config.rate)
+    claims = stored(scored(config, made, pair_features(config, rest, queries, pool)), "claims")
     judged = truth.where(~labels.in_share("source1_entity_id", 1 - holdout))
+    return made, *searched(config, claims, judged)
+
+
+def searched(config: LinkConfig, claims: DataFrame, truth: DataFrame) -> tuple[float, DataFrame]:
+    """The best threshold and the search."""
+    if config.mode == "B" and claims.isEmpty():
+        return NO_PAIRS, claims.sparkSession.createDataFrame([(NO_PAIRS, 0.0)], "threshold double, macro_f05 double")
     grid = metrics.DISCOUNT_GRID if config.mode == "B" else metrics.SEARCH_GRID
-    search = metrics.threshold_search(claims, judged, grid, config.pool_unique).cache()
-    best = search.orderBy(search["macro_f05"].desc(), "threshold").first()
-    return made, float(best["threshold"]), search
+    search = stored(metrics.threshold_search(claims, truth, grid, config.pool_unique), "search")
+    return tables.best_threshold(search), search
 
 
 def scored(config: LinkConfig, made: PipelineModel, pairs: DataFrame) -> DataFrame:
@@ -73,11 +91,11 @@ def scored(config: LinkConfig, made: PipelineModel, pairs: DataFrame) -> DataFra
 
 
 def link(config: LinkConfig, queries: DataFrame, pool: DataFrame, made: PipelineModel | None = None) -> tuple[DataFrame, DataFrame]:
-    """Candidates and matches, long tables. Mode C needs no model."""
-    pairs = candidates(config, queries, pool)
+    """Candidates, stored, and matches, long tables. Mode C needs no model."""
+    if config.mode != "C" and made is None:
+        raise ValueError(f"mode {config.mode} needs a model")
+    pairs = stored(candidates(config, queries, pool), "candidates")
     if config.mode == "C":
         return pairs, pairs.where(pairs["score"] >= config.threshold).withColumnRenamed("score", "probability")
-    if made is None:
-        raise ValueError(f"mode {config.mode} needs a model")
     claims = assign.accepted(scored(config, made, pair_features(config, pairs, queries, pool)), config.threshold)
     return pairs, assign.assign_pool_unique(claims) if config.pool_unique else claims

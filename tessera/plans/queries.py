@@ -11,7 +11,9 @@ from tessera.functions import features, text
 from tessera.functions import similarity as sim
 from tessera.operators import assign, blocking, labels, metrics, validate
 from tessera.plans import linkage
-from tessera.sources import tables
+from tessera.plans import similarity_sql as sql_of
+from tessera.sources import sinks, tables
+from tessera.sources.shared import new_path, spread, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,7 +110,7 @@ def part_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = part_candidates(spark, sf_dir)
+    got = stored(part_candidates(spark, sf_dir), "candidates")
     most = got.agg(F.max("score").alias("_most"))
     return got.crossJoin(F.broadcast(most)).select("source1_entity_id", "candidate_entity_id", "blocking_rank", F.round(F.col("score") / F.col("_most"), 6).alias("probability"))  # one row
 
@@ -127,7 +129,7 @@ def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_PAIRS = f"""WITH {sql_blocking(PARTS)},
-pairs AS (SELECT c.source1_entity_id, c.candidate_entity_id, c.blocking_rank, a.business_name AS n1, a.business_address AS a1, b.business_name AS n2,
+pairs AS (SELECT c.source1_entity_id, c.candidate_entity_id, c.blocking_rank, c.score, a.business_name AS n1, a.business_address AS a1, b.business_name AS n2,
   b.business_address AS a2 FROM cands c JOIN ents a ON a.entity_id = c.source1_entity_id JOIN ents b ON b.entity_id = c.candidate_entity_id)"""
 
 # --- scans, cleaning -----------------------------------------------------------------------------------------------------
@@ -138,9 +140,13 @@ def available_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.available_countries(tables.document_entities(spark, sf_dir))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def _cleaned(name: str, sql: Callable[[str], str], column: Callable[[str], F.Column]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", column("text").alias("cleaned"))
+        return texts(spark, sf_dir).select("doc_id", column("text").alias("cleaned"))
 
     run.__name__ = name
     query(f"SELECT doc_id, {sql('text')} AS cleaned FROM documents")(run)
@@ -155,12 +161,12 @@ _cleaned("feature_text", lambda c: f"regexp_replace(lower(coalesce({c}, '')), '^
 
 @query("SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '[0-9]+'), '|') AS digits FROM documents")
 def digits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.array_join(text.digits("text"), "|").alias("digits"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(text.digits("text"), "|").alias("digits"))
 
 
 @query("SELECT doc_id, array_to_string(list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda t: length(t) >= 2), '|') AS tokens FROM documents")
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.array_join(text.tokens("text"), "|").alias("tokens"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(text.tokens("text"), "|").alias("tokens"))
 
 
 @query("""SELECT p_partkey, CASE WHEN d = '' THEN '' ELSE array_to_string(list_transform(range(1, greatest(length(d) - 2, 1) + 1), lambda i: substr(d, i, 3)), '|') END AS ngrams
@@ -171,28 +177,22 @@ def char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, CASE WHEN c <> '' THEN 'nt1:' || split_part(c, ' ', 1) END AS block_key FROM (SELECT doc_id, {sql_name('text')} AS c FROM documents)")
 def block_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = texts(spark, sf_dir)
     return docs.select("doc_id", text.block_key(text.clean_name("text", False)).alias("block_key"))
 
 
-def _folded(name: str, column: Callable[[str], F.Column]) -> None:
-    """The whole cleaning with accent folding, for which there is no SQL."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", column("text").alias(name.removesuffix("_folded")))
-
-    run.__name__ = name
-    query()(run)
+def sql_folded(c: str) -> str:
+    return f"strip_accents(coalesce({c}, ''))"
 
 
-_folded("clean_address_folded", text.clean_address)
-_folded("clean_name_folded", text.clean_name)
-_folded("block_key_folded", lambda c: text.block_key(text.clean_name(c)))
+_cleaned("clean_address_folded", lambda c: sql_address(sql_folded(c)), text.clean_address)
+_cleaned("clean_name_folded", lambda c: sql_name(sql_folded(c)), text.clean_name)
+_cleaned("strip_accents", sql_folded, text.strip_accents)
 
 
-@query()
-def strip_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.strip_accents("text").alias("folded"))
+@query(f"SELECT doc_id, CASE WHEN c <> '' THEN 'nt1:' || split_part(c, ' ', 1) END AS block_key FROM (SELECT doc_id, {sql_name(sql_folded('text'))} AS c FROM documents)")
+def block_key_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir).select("doc_id", text.block_key(text.clean_name("text")).alias("block_key"))
 
 
 # --- index and candidates ------------------------------------------------------------------------------------------------
@@ -214,11 +214,11 @@ def idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.token_idf(blocking.entity_tokens(pool), blocking.country_sizes(pool))
 
 
-@query(f"WITH {sql_blocking(PARTS)} SELECT entity_id, country, token, df, idf FROM toks JOIN idf USING (country, token) WHERE NOT is_query AND df <= 50")
+@query(f"WITH {sql_blocking(PARTS)} SELECT entity_id, country, token, df, idf FROM toks JOIN idf USING (country, token) WHERE NOT is_query")
 def postings_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, pool = tables.part_sides(spark, sf_dir)
     tokens = blocking.entity_tokens(pool)
-    return blocking.postings(tokens, blocking.token_idf(tokens, blocking.country_sizes(pool), 50)).select("entity_id", "country", "token", "df", "idf")
+    return blocking.postings(tokens, blocking.token_idf(tokens, blocking.country_sizes(pool))).select("entity_id", "country", "token", "df", "idf")
 
 
 @query(f"""WITH {sql_blocking(DOCUMENTS)}, {DOC_TRUTH},
@@ -268,75 +268,83 @@ def tfidf_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.best_match(*tables.part_sides(spark, sf_dir))
 
 
-@query()
+#: Words of three to five characters with their blanks; a query whose country the pool lacks stands in the country *, with the whole pool.
+_PADDED = f"list_transform(list_filter(string_split_regex(lower(trim({sql_expanded('business_name')} || ' ' || {sql_expanded('business_address')})), '\\s+'), lambda w: w <> ''), lambda w: ' ' || w || ' ')"
+_CHAR_WB = f"""flatten(list_transform({_PADDED}, lambda w: flatten(list_transform([3, 4, 5], lambda n: CASE WHEN n > 3 AND length(w) < n THEN [] ELSE
+  list_transform(range(1, greatest(length(w) - n + 1, 1) + 1), lambda i: substr(w, i, n)) END))))"""
+_NEAR = PARTS.replace("ents AS", "raw AS") + """,
+known AS (SELECT entity_id, business_name, business_address, upper(trim(coalesce(country, 'UNKNOWN'))) AS country, entity_id LIKE 'S1-%' AS is_query FROM raw),
+there AS (SELECT DISTINCT country FROM known WHERE NOT is_query),
+ents AS (SELECT entity_id, business_name, business_address, CASE WHEN is_query AND country NOT IN (SELECT country FROM there) THEN '*' ELSE country END AS country FROM known
+  UNION ALL SELECT entity_id, business_name, business_address, '*' FROM known WHERE NOT is_query AND EXISTS (SELECT 1 FROM known WHERE is_query AND country NOT IN (SELECT country FROM there)))"""
+
+
+@query(f"""WITH {sql_tfidf(_NEAR, _CHAR_WB, 1, None, blocking.K)},
+pairs AS (SELECT q.entity_id AS source1_entity_id, p.entity_id AS candidate_entity_id, coalesce(s.score, 0) AS score FROM ents q JOIN ents p ON q.country = p.country
+  LEFT JOIN scores s ON s.source1_entity_id = q.entity_id AND s.candidate_entity_id = p.entity_id WHERE q.entity_id LIKE 'S1-%' AND p.entity_id NOT LIKE 'S1-%')
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, candidate_entity_id)::INT AS blocking_rank FROM pairs) WHERE blocking_rank <= {blocking.K}""")
 def charwb_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.charwb_knn(*tables.part_sides(spark, sf_dir))
 
 
 # --- pair features -------------------------------------------------------------------------------------------------------
 
-#: Longest common subsequence by rows of the usual table, each row made from the one before.
-SQL_LCS = """list_reduce(list_prepend(list_transform(range(0, length({b}) + 1), lambda j: 0::BIGINT), list_transform(range(1, length({a}) + 1), lambda i: [i])),
-  lambda acc, i: list_reduce(list_prepend([0::BIGINT], list_transform(range(1, length({b}) + 1), lambda j: [j])),
-    lambda row, j: list_append(row, CASE WHEN substr({a}, i[1], 1) = substr({b}, j[1], 1) THEN acc[j[1]] + 1 ELSE greatest(acc[j[1] + 1], row[-1]) END)))[-1]"""
+def _pair_query(name: str, columns: dict[str, Callable[[], F.Column]], sql: dict[str, str]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        got = part_pairs(spark, sf_dir)
+        return got.select("source1_entity_id", "candidate_entity_id", *[F.round(c().cast("double"), 6).alias(k) for k, c in columns.items()])
 
+    run.__name__ = name
+    digits, words = ", ".join(f"{sql_of.digits(a)} AS {d}" for a, d in (("a1", "d1"), ("a2", "d2"))), ", ".join(f"string_split_regex(lower({n}), '\\s+') AS {t}" for n, t in (("n1", "t1"), ("n2", "t2")))
+    query(f"{SQL_PAIRS} SELECT source1_entity_id, candidate_entity_id, {sql_of.columns(sql)} FROM (SELECT *, {digits}, {words} FROM pairs)")(run)
 
-def sql_ratio(a: str, b: str) -> str:
-    lcs = SQL_LCS.format(a=a, b=b)
-    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100.0 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0.0 ELSE 200.0 * {lcs} / (length({a}) + length({b})) END"
 
+def _similarity_query(name: str, kinds: dict[str, str]) -> None:
+    """kinds: columns of similarities of the names."""
 
-def _pair_query(name: str, columns: dict[str, Callable[[], F.Column]], sql: dict[str, str] | None) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         got = part_pairs(spark, sf_dir)
-        return got.select("source1_entity_id", "candidate_entity_id", *[F.round(c().cast("double"), 6).alias(k) for k, c in columns.items()])
+        return got.select("source1_entity_id", "candidate_entity_id", *[F.round(sim.column_of(k)(_n1(), _n2()), 6).alias(c) for c, k in kinds.items()])
 
     run.__name__ = name
-    out = sql and ", ".join(f"round(({v})::DOUBLE, 6) AS {k}" for k, v in sql.items())
-    query(f"{SQL_PAIRS} SELECT source1_entity_id, candidate_entity_id, {out} FROM (SELECT *, regexp_extract_all(a1, '[0-9]+') AS d1, regexp_extract_all(a2, '[0-9]+') AS d2, string_split_regex(lower(n1), '\\s+') AS t1, string_split_regex(lower(n2), '\\s+') AS t2 FROM pairs)" if out else None)(run)
+    sims = sql_of.similarities("SELECT lower(n1) AS x, lower(n2) AS y FROM pairs")
+    query(f"{SQL_PAIRS}, {sims} SELECT source1_entity_id, candidate_entity_id, {sql_of.columns(dict((c, k) for c, k in kinds.items()))} FROM pairs JOIN sims ON x = lower(n1) AND y = lower(n2)")(run)
 
 
 _n1, _n2, _a1, _a2 = (lambda: F.lower("s1_name"), lambda: F.lower("c_name"), lambda: F.lower("s1_address"), lambda: F.lower("c_address"))
 _d1, _d2 = lambda: text.digits("s1_address"), lambda: text.digits("c_address")
 _t1, _t2 = lambda: text.tokens(_n1(), 1), lambda: text.tokens(_n2(), 1)
-_UNION = "len(list_distinct(list_concat({a}, {b})))"
-_SHARED = "len(list_intersect(list_distinct({a}), list_distinct({b})))"
-
-
-def sql_jaccard(a: str, b: str, none: str) -> str:
-    return f"CASE WHEN {_UNION.format(a=a, b=b)} = 0 THEN {none} ELSE {_SHARED.format(a=a, b=b)} / {_UNION.format(a=a, b=b)} END"
 
 
 _pair_query("feat_levenshtein", {"address_levenshtein": lambda: sim.levenshtein_percent(_a1(), _a2())},
             {"address_levenshtein": "CASE WHEN greatest(length(a1), length(a2)) = 0 THEN 100 ELSE 100 * (1 - levenshtein(lower(a1), lower(a2)) / greatest(length(a1), length(a2))) END"})
 _pair_query("feat_numbers", {"number_overlap": lambda: sim.number_overlap(F.array_distinct(_d1()), F.array_distinct(_d2())), "digits_jaccard": lambda: sim.digits_jaccard(F.array_distinct(_d1()), F.array_distinct(_d2())), "first_digit_match": lambda: sim.first_digit_match(_d1(), _d2())},
-            {"number_overlap": sql_jaccard("d1", "d2", "-1"), "digits_jaccard": sql_jaccard("d1", "d2", "1"), "first_digit_match": "CASE WHEN len(d1) > 0 AND len(d2) > 0 AND d1[1] = d2[1] THEN 1 ELSE 0 END"})
-_pair_query("feat_veto", {"veto_flag": lambda: sim.veto(_d1(), _d2())}, {"veto_flag": "CASE WHEN len(d1) > 0 AND len(d2) > 0 AND NOT list_has_any(d1, d2) THEN 1 ELSE 0 END"})
-_pair_query("feat_house_conflict", {"house_conflict": lambda: sim.house_conflict(_d1(), _d2())}, {"house_conflict": "CASE WHEN len(d1) > 0 AND len(d2) > 0 AND d1[1] <> d2[1] AND NOT list_contains(d2, d1[1]) AND NOT list_contains(d1, d2[1]) THEN 1 ELSE 0 END"})
+            {"number_overlap": sql_of.jaccard("d1", "d2", "-1"), "digits_jaccard": sql_of.jaccard("d1", "d2", "1"), "first_digit_match": "CASE WHEN len(d1) > 0 AND len(d2) > 0 AND d1[1] = d2[1] THEN 1 ELSE 0 END"})
+_pair_query("feat_veto", {"veto_flag": lambda: sim.veto(_d1(), _d2())}, {"veto_flag": sql_of.VETO})
+_pair_query("feat_house_conflict", {"house_conflict": lambda: sim.house_conflict(_d1(), _d2())}, {"house_conflict": sql_of.HOUSE})
 _pair_query("feat_lengths", {"len_diff_name": lambda: sim.relative_length_difference(_n1(), _n2()), "len_diff_addr": lambda: sim.relative_length_difference(_a1(), _a2()), "name_len_diff": lambda: F.abs(F.length(_n1()) - F.length(_n2())), "name_len_ratio": lambda: sim.length_ratio(_n1(), _n2())},
             {"len_diff_name": "abs(length(n1) - length(n2)) / greatest(length(n1), length(n2), 1)", "len_diff_addr": "abs(length(a1) - length(a2)) / greatest(length(a1), length(a2), 1)", "name_len_diff": "abs(length(n1) - length(n2))", "name_len_ratio": "least(length(n1), length(n2)) / greatest(length(n1), length(n2))"})
-_pair_query("feat_token_jaccard", {"name_token_overlap": lambda: sim.set_jaccard(_t1(), _t2(), 1.0)}, {"name_token_overlap": sql_jaccard("t1", "t2", "1")})
+_pair_query("feat_token_jaccard", {"name_token_overlap": lambda: sim.set_jaccard(_t1(), _t2(), 1.0)}, {"name_token_overlap": sql_of.jaccard("t1", "t2", "1")})
 _pair_query("feat_misc", {"first_char_match": lambda: sim.first_char_match(_n1(), _n2()), "is_source2": lambda: F.when(F.col("candidate_entity_id").startswith("S2-"), 1).otherwise(0), "addr_is_null": lambda: F.when(F.col("s1_address") == "", 1).otherwise(0), "rank": lambda: F.col("blocking_rank")},
             {"first_char_match": "CASE WHEN n1[1] = n2[1] THEN 1 ELSE 0 END", "is_source2": "CASE WHEN candidate_entity_id LIKE 'S2-%' THEN 1 ELSE 0 END", "addr_is_null": "CASE WHEN a1 = '' THEN 1 ELSE 0 END", "rank": "blocking_rank"})
-_pair_query("feat_ratio", {"name_ratio": lambda: sim.column_of("ratio")(_n1(), _n2())}, {"name_ratio": sql_ratio("n1", "n2")})
-_SORTED = "array_to_string(list_sort({t}), ' ')"
-_pair_query("feat_token_sort", {"name_token_sort_ratio": lambda: sim.column_of("token_sort_ratio")(_n1(), _n2())}, {"name_token_sort_ratio": sql_ratio(_SORTED.format(t="t1"), _SORTED.format(t="t2"))})
-_pair_query("feat_token_set", {"name_token_set_ratio": lambda: sim.column_of("token_set_ratio")(_n1(), _n2())}, None)
-_pair_query("feat_jaro_winkler", {"name_jaro_winkler": lambda: sim.column_of("jaro_winkler")(_n1(), _n2())}, {"name_jaro_winkler": "jaro_winkler_similarity(lower(n1), lower(n2))"})
-_pair_query("feat_partial", {"name_partial_ratio": lambda: sim.column_of("partial_ratio")(_n1(), _n2()), "name_wratio": lambda: sim.column_of("wratio")(_n1(), _n2())}, None)
+_similarity_query("feat_ratio", {"name_ratio": "ratio"})
+_similarity_query("feat_token_sort", {"name_token_sort_ratio": "token_sort_ratio"})
+_similarity_query("feat_token_set", {"name_token_set_ratio": "token_set_ratio"})
+_similarity_query("feat_jaro_winkler", {"name_jaro_winkler": "jaro_winkler"})
+_similarity_query("feat_partial", {"name_partial_ratio": "partial_ratio", "name_wratio": "wratio"})
 
 
-@query()
+@query(sql_of.mode_a(SQL_PAIRS))
 def features_mode_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.mode_a(part_pairs(spark, sf_dir))
 
 
-@query()
+@query(sql_of.mode_b(SQL_PAIRS, sql_name(sql_folded("{}")), sql_address(sql_folded("{}"))))
 def features_mode_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.mode_b(part_pairs(spark, sf_dir))
 
 
-@query()
+@query(sql_of.mode_d(SQL_PAIRS, sql_expanded("{}")))
 def features_mode_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.mode_d(part_pairs(spark, sf_dir))
 
@@ -386,10 +394,10 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {PARTS}, {PART_TRUTH}, p AS (SELECT DISTINCT candidate_entity_id AS entity_id FROM truth_pairs),
 o AS (SELECT *, row_number() OVER (PARTITION BY substr(entity_id, 1, 3) ORDER BY md5('42:' || entity_id), entity_id) AS rn FROM ents
   WHERE entity_id NOT LIKE 'S1-%' AND entity_id NOT IN (SELECT entity_id FROM p))
-SELECT entity_id FROM p UNION ALL SELECT entity_id FROM o WHERE rn <= 200""")
+SELECT entity_id FROM p UNION ALL SELECT entity_id FROM o WHERE rn <= {labels.DISTRACTORS}""")
 def benchmark_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries, pool = tables.part_sides(spark, sf_dir)
-    return labels.benchmark_pool(pool, truth_of(queries, pool, name_and_brand), 200).select("entity_id")
+    return labels.benchmark_pool(pool, truth_of(queries, pool, name_and_brand)).select("entity_id")
 
 
 @query(f"{SQL_CLAIMED}, {SQL_ASSIGNED} SELECT source1_entity_id, candidate_entity_id, probability FROM best")
@@ -491,6 +499,84 @@ def semi_join_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.only_ids(tables.part_entities(spark, sf_dir), ids)
 
 
+# --- files: written to the shared folder and read again
+
+
+@query(f"WITH {PARTS} SELECT entity_id, business_name, business_address, country FROM ents WHERE country IN ('STANDARD', 'PROMO')")
+def entity_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of two countries from tab-separated files."""
+    path = new_path(spark, "entities")
+    sinks.write_tsv(tables.part_entities(spark, sf_dir).select("entity_id", "business_name", "business_address", "country"), path)
+    return tables.read_entities(spark, path, ["STANDARD", "PROMO"])
+
+
+SQL_LISTS = "(SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY {order}) AS ids FROM {table} GROUP BY 1)"
+
+
+@query(f"""WITH {PARTS}, {PART_TRUTH} SELECT q.source1_entity_id, coalesce(ids, '') AS matched
+FROM qs q LEFT JOIN {SQL_LISTS.format(order="candidate_entity_id", table="truth_pairs")} USING (source1_entity_id)""")
+def ground_truth_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "truth")
+    sinks.write_lists(part_truth(spark, sf_dir).withColumnRenamed("matched", "ids"), path, validate.MATCHING_HEADER, one_file=True)
+    got = tables.read_truth(spark, path)
+    return got.select("source1_entity_id", F.array_join(F.array_sort("matched"), ",").alias("matched"))
+
+
+@query(f"WITH {PARTS} SELECT entity_id FROM ents WHERE entity_id LIKE 'S1-%'")
+def ids_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids that the first column of a result file has."""
+    path, (queries, _) = new_path(spark, "ids"), tables.part_sides(spark, sf_dir)
+    sinks.write_lists(assign.collected(part_candidates(spark, sf_dir), queries, "blocking_rank"), path, validate.CANDIDATE_HEADER, one_file=True)
+    return tables.read_ids(spark, path)
+
+
+@query(f"""{SQL_CLAIMED}, {SQL_ASSIGNED}, m AS (SELECT * FROM best WHERE probability >= 0.6)
+SELECT q.source1_entity_id || chr(9) || coalesce(ids, '') AS line FROM qs q LEFT JOIN {SQL_LISTS.format(order="probability DESC, candidate_entity_id", table="m")} USING (source1_entity_id)
+UNION ALL SELECT 'source1_entity_id' || chr(9) || 'matched_entity_ids'""")
+def matches_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a result file, ids by falling probability."""
+    path, (queries, _) = new_path(spark, "matches"), tables.part_sides(spark, sf_dir)
+    claims = assign.accepted(assign.assign_pool_unique(part_claims(spark, sf_dir)), 0.6)
+    sinks.write_lists(assign.collected(claims, queries, "probability", False), path, validate.MATCHING_HEADER)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query(f"{SQL_SEARCH} SELECT threshold, macro_f05 FROM search ORDER BY macro_f05 DESC, threshold LIMIT 1")
+def best_threshold_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "search")
+    sinks.write_search(threshold_sweep(spark, sf_dir), path)
+    search = tables.read_search(spark, path)
+    return search.where(F.col("threshold") == tables.best_threshold(search))
+
+
+@query(f"""{SQL_CLAIMED}, {SQL_ASSIGNED}, m AS (SELECT source1_entity_id, count(*) AS n FROM best WHERE probability >= 0.6 GROUP BY 1), a AS (SELECT coalesce(n, 0) AS n FROM qs LEFT JOIN m USING (source1_entity_id))
+SELECT count(*) AS n_rows, count(*) FILTER (n = 0) AS n_empty, count(*) FILTER (n > 0) AS n_filled, sum(n)::BIGINT AS n_ids FROM a""")
+def output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, _ = tables.part_sides(spark, sf_dir)
+    claims = assign.accepted(assign.assign_pool_unique(part_claims(spark, sf_dir)), 0.6)
+    return metrics.output_counts(assign.collected(claims, queries))
+
+
+@query(f"WITH {PARTS} SELECT entity_id, business_name FROM ents ORDER BY entity_id LIMIT 50")
+def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.head(tables.part_entities(spark, sf_dir), 50).select("entity_id", "business_name")
+
+
+@query(f"WITH {sql_blocking(DOCUMENTS)} SELECT country, count(DISTINCT token) AS tokens, count(DISTINCT entity_id) AS entities FROM toks GROUP BY country")
+def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = blocking.entity_tokens(tables.document_entities(spark, sf_dir))
+    return tokens.groupBy("country").agg(F.count_distinct("token").alias("tokens"), F.count_distinct("entity_id").alias("entities"))
+
+
+@query(f"""WITH {sql_blocking(PARTS)} SELECT c.source1_entity_id, c.candidate_entity_id, lower(e.business_name) AS c_name FROM cands c JOIN ents e ON e.entity_id = c.candidate_entity_id
+WHERE e.country <> 'PROMO'""")
+def pairs_with_pool_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates without a row in the pool are left out."""
+    queries, pool = tables.part_sides(spark, sf_dir)
+    got = features.with_sides(part_candidates(spark, sf_dir), queries, pool.where("country <> 'PROMO'"), inner=True)
+    return got.select("source1_entity_id", "candidate_entity_id", F.lower("c_name").alias("c_name"))
+
+
 #: A file with one case of each rule.
 BROKEN = ("S1-0\tS2-1,S3-2", "S1-3\t", "S1-3\tS2-4", "S1-6\tS2-1,S2-1", "S1-9\tS1-0", "S1-12\tX-1", "S1-15\tS2-1,,S2-4", "S1-18\tS2-999999", "no tab here", "", "S1-999999\tS3-2")
 SQL_BROKEN = f"""WITH {PARTS}, lines AS (SELECT unnest([{", ".join("'" + b.replace(chr(9), "' || chr(9) || '") + "'" for b in BROKEN)}]) AS value),
@@ -525,14 +611,22 @@ def matches_outside_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.outside_candidates(part_truth(spark, sf_dir).select(F.col("source1_entity_id").alias("s1"), F.col("matched").alias("ids")), tops.withColumnRenamed("source1_entity_id", "s1"))
 
 
-@query()
-def link_mode_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train and match in mode A over all parts, with few trees."""
-    queries, pool = tables.part_sides(spark, sf_dir)
-    config = linkage.configured("A", trees=20, rate=0.3)
-    made, threshold, _ = linkage.train(config, queries, pool, truth_of(queries, pool, name_and_brand))
-    _, matches = linkage.link(linkage.configured("A", threshold=threshold), queries, pool, made)
-    return matches.select("source1_entity_id", "candidate_entity_id", "probability")
+def _trained(mode: str, truth: Callable[[], F.Column], trees: int = 20) -> None:
+    """Train and match over all parts, with few trees."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        queries, pool = tables.part_sides(spark, sf_dir)
+        config = linkage.configured(mode, trees=trees, rate=0.3)
+        made, threshold, _ = linkage.train(config, queries, pool, truth_of(queries, pool, truth))
+        _, matches = linkage.link(linkage.configured(mode, threshold=threshold), queries, pool, made)
+        return matches.select("source1_entity_id", "candidate_entity_id", "probability")
+
+    run.__name__ = f"link_mode_{mode.lower()}"
+    query()(run)
+
+
+for _mode in ("A", "B", "D"):
+    _trained(_mode, name_and_brand)
 
 
 @query(f"WITH {sql_tfidf(PARTS, WORD_NGRAMS, 2, blocking.VOCABULARY, 1)} SELECT source1_entity_id, candidate_entity_id, score AS probability FROM cands WHERE score >= 0.76")

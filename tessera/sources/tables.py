@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import spread
+
 ENTITY = "entity_id string, business_name string, business_address string, country string"
 #: Texts that the option missing_words of read_entities reads as null.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -18,10 +20,10 @@ def read_entities(spark: SparkSession, path: str | list[str], countries: list[st
     return got.where(F.col("country").isin(*countries)) if countries is not None else got
 
 
-def read_split(spark: SparkSession, folder: str, countries: list[str] | None = None) -> dict[str, DataFrame]:
+def read_split(spark: SparkSession, folder: str, countries: list[str] | None = None, missing_words: bool = False) -> dict[str, DataFrame]:
     """source1, source2, source3 and, in a training folder, ground_truth. The files begin with test if the folder's name holds that word, else with train."""
     prefix = "test" if "test" in folder.rstrip("/").rpartition("/")[2] else "train"
-    out = {f"source{i}": read_entities(spark, f"{folder}/{prefix}_source{i}.tsv", countries) for i in (1, 2, 3)}
+    out = {f"source{i}": read_entities(spark, f"{folder}/{prefix}_source{i}.tsv", countries, missing_words) for i in (1, 2, 3)}
     return out | ({"ground_truth": read_truth(spark, f"{folder}/{prefix}_ground_truth.tsv")} if prefix == "train" else {})
 
 
@@ -50,8 +52,8 @@ def read_truth(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """entity_id: the first columns of a raw table, without its first line and blank lines."""
-    lines = spark.read.text(path).where(F.trim("value") != "").select(F.trim(F.split("value", "\t")[0]).alias("entity_id"))
-    return lines.where(F.col("entity_id") != "entity_id").distinct()
+    lines = spark.read.csv(path, sep="\t", header=True, schema="entity_id string", quote="", comment="", enforceSchema=True)
+    return lines.select(F.trim("entity_id").alias("entity_id")).where("entity_id <> ''").distinct()
 
 
 def match_targets(source2: DataFrame | None, source3: DataFrame | None) -> DataFrame | None:
@@ -76,6 +78,20 @@ def best_threshold(search: DataFrame, otherwise: float = 0.88) -> float:
     return float(row["threshold"]) if row else otherwise
 
 
+def read_search(spark: SparkSession, path: str) -> DataFrame:
+    """threshold, macro_f05 of a search file."""
+    return spark.read.csv(path, sep="\t", header=True, schema="threshold double, macro_f05 double")
+
+
+def read_features(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame:
+    """A table of pair features. Missing columns are an error."""
+    got = spark.read.parquet(path)
+    lacking = [n for n in names if n not in got.columns]
+    if lacking:
+        raise ValueError(f"features are missing: {', '.join(lacking)}")
+    return got
+
+
 def pool(source2: DataFrame, source3: DataFrame) -> DataFrame:
     return source2.unionByName(source3)
 
@@ -94,7 +110,7 @@ def _sources(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def document_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as entities: the name is the first line of a text, the address all the rest, the country its language."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
     line = F.substring_index("text", "\n", 1)
     kind = F.concat(F.lit("S"), (F.substring("source", 4, 9).cast("int") % 3 + 1).cast("string"), F.lit("-"))
     return docs.select(F.concat(kind, F.col("doc_id").cast("string")).alias("entity_id"), line.alias("business_name"), F.substr("text", F.length(line) + 2).alias("business_address"), F.col("lang").alias("country"))
@@ -102,7 +118,7 @@ def document_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part as entities: brand and size are the address, the type is the country."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_size", "p_type"))
     kind = F.concat(F.lit("S"), (F.col("p_partkey") % 3 + 1).cast("string"), F.lit("-"))
     address = F.concat_ws(" ", "p_brand", F.col("p_size").cast("string"))
     return parts.select(F.concat(kind, F.col("p_partkey").cast("string")).alias("entity_id"), F.col("p_name").alias("business_name"), address.alias("business_address"), F.col("p_type").alias("country"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import features
 from tessera.operators import assign, blocking, labels, metrics, model, validate
+from tessera.operators.order import first_rows
 from tessera.plans import linkage
 from tessera.sources import sinks, tables
 from tessera.streaming.candidates import stream_candidates
@@ -186,3 +187,98 @@ def test_recall_and_audit(spark):
     assert got == {"blocking_recall": 66.666667, "classifier_retention": 50.0, "micro_precision": 50.0, "micro_recall": 33.333333, "macro_precision": 100.0, "macro_recall": 25.0, "singleton_accuracy": 0.0, "macro_f05": 0.277778}
     empty = truth.where(F.lit(False))
     assert metrics.audit_summary(empty, cands, predicted).first()["singleton_accuracy"] == 100.0
+
+
+def test_hot_tokens_are_dealt_out(spark, small, monkeypatch):
+    queries, pool = tables.part_sides(spark, small)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    expected = rows(blocking.block_topk(queries, pool)), rows(blocking.tfidf_topk(queries, pool))
+    monkeypatch.setattr(blocking, "PAIRS", 50)
+    assert (rows(blocking.block_topk(queries, pool)), rows(blocking.tfidf_topk(queries, pool))) == expected
+
+
+def test_blocking_fills_all_partitions(spark, small):
+    got = blocking.block_topk(*tables.part_sides(spark, small))
+    held = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert held > 1
+
+
+def test_a_small_vocabulary(spark, small):
+    queries, pool = tables.part_sides(spark, small)
+    some, _ = blocking.tfidf_vectors(pool, queries, blocking.tfidf_text(), lambda c: F.split(c, " "), 1, 3)
+    counts = {}
+    for r in pool.select("country", F.explode(F.split(blocking.tfidf_text(), " ")).alias("t")).collect():
+        counts.setdefault(r["country"], {}).setdefault(r["t"], []).append(1)
+    for country, terms in counts.items():
+        best = sorted(terms, key=lambda t: (-len(terms[t]), t))[:3]
+        assert {r[0] for r in some.where(F.col("country") == country).select("token").distinct().collect()} == set(best)
+
+
+def test_first_rows(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), rng.randint(0, 30), i) for i in range(500)]
+    table = spark.createDataFrame(rows, "k string, v int, i int")
+    for n in (1, 40, 400):
+        got = first_rows(table, ["k"], F.floor(F.col("v") / 4), [F.col("v"), F.col("i")], n).collect()
+        assert sorted(map(tuple, got)) == sorted(r for k in "ab" for r in sorted((x for x in rows if x[0] == k), key=lambda r: r[1:])[:n])
+
+
+def test_rows_of_one_id(spark):
+    queries = entities(spark, [("S1-1", "b", "x", "US"), ("S1-1", "a", "x", "US")])
+    pool = entities(spark, [("S2-1", "zz", None, "US"), ("S2-1", "b", None, "US")])
+    pairs = spark.createDataFrame([("S1-1", "S2-1", 1), ("S1-1", "S2-9", 2)], "source1_entity_id string, candidate_entity_id string, blocking_rank int")
+    got = {m: linkage.pair_features(linkage.MODES[m], pairs, queries, pool).collect() for m in ("A", "B")}
+    assert [r["name_token_sort_ratio"] for r in sorted(got["A"], key=lambda r: r["candidate_entity_id"])] == [0.0, 0.0]  # a with b, a with nothing
+    assert [r["candidate_entity_id"] for r in got["B"]] == ["S2-1"]
+
+
+def test_a_search_without_pairs(spark):
+    claims = spark.createDataFrame([], "source1_entity_id string, candidate_entity_id string, probability double")
+    truth = spark.createDataFrame([("S1-1", ["S2-1"])], "source1_entity_id string, matched array<string>")
+    threshold, search = linkage.searched(linkage.MODES["B"], claims, truth)
+    assert threshold == 0.85 and [tuple(r) for r in search.collect()] == [(0.85, 0.0)]
+
+
+def test_lines_in_order(spark, tmp_path):
+    source1 = entities(spark, [("S1-1", "", "", "US"), ("S1-2", "", "", "US")])
+    matches, candidates = str(tmp_path / "m"), str(tmp_path / "c")
+    head = "\t".join(validate.MATCHING_HEADER)
+    (tmp_path / "m").write_bytes(f"{head}\nS1-1\tS2-9\nS1-1\tS2-1\n{head}\nS1-2\t".encode() + b"\xff\n")
+    (tmp_path / "c").write_text("\t".join(validate.CANDIDATE_HEADER) + "\nS1-1\tS2-1\nS1-2\t\n")
+    report = validate.validate_files(spark, matches, candidates, source1)
+    text = " ".join(report.errors)
+    assert "extra_row: 1 in all, such as source1_entity_id" in text and "duplicate_row" in text and "not_utf8" in text
+    (tmp_path / "m").write_text(f"{head}\nS1-1\tS2-9\nS1-1\tS2-1\nS1-2\t\n")
+    body = validate.parsed(validate._body(spark, matches, validate.MATCHING_HEADER)[1])
+    cands = validate.parsed(validate._body(spark, candidates, validate.CANDIDATE_HEADER)[1])
+    assert validate.outside_candidates(body, cands).count() == 0  # the last line of a query counts
+    assert validate.outside_candidates(cands.withColumn("ids", F.array(F.lit("S2-7"))), body).count() == 2
+
+
+def test_many_offenders(spark, monkeypatch):
+    monkeypatch.setattr(validate, "PARTS", 4)
+    found = spark.createDataFrame([("a", f"x{i:03}") for i in range(100)] + [("b", "y")], "rule string, offender string")
+    assert sorted(map(tuple, validate.summary(found).collect())) == [("a", 100, "x000,x001,x002,x003,x004"), ("b", 1, "y")]
+
+
+def test_missing_words_by_mode(spark, tmp_path):
+    from tessera.__main__ import sides
+
+    folder = tmp_path / "test"
+    folder.mkdir()
+    for i in (1, 2, 3):
+        (folder / f"test_source{i}.tsv").write_text(f"entity_id\tbusiness_name\tbusiness_address\tcountry\nS{i}-1\tNA\tnan\tUS\n")
+    assert sides(spark, str(folder), "A")[0].first()["business_name"] is None and sides(spark, str(folder), "B")[0].first()["business_name"] == "NA"
+
+
+def test_feature_tables(spark, tmp_path):
+    spark.createDataFrame([(1.0, 2.0)], "a double, b double").write.parquet(str(tmp_path / "f"))
+    assert tables.read_features(spark, str(tmp_path / "f"), ("a", "b")).count() == 1
+    with pytest.raises(ValueError, match="features are missing: c"):
+        tables.read_features(spark, str(tmp_path / "f"), ("a", "c"))
+    assert {r[0] for r in tables.read_truth(spark, _truth_file(tmp_path), trim=False).select(F.explode("matched")).collect()} == {"S2-1", " S3-1"}
+
+
+def _truth_file(folder):
+    (folder / "t").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1, S3-1\n")
+    return str(folder / "t")

@@ -94,3 +94,24 @@ def test_random_levenshtein_is_symmetric(spark):
     pairs = [("".join(rng.choice("ab") for _ in range(rng.randint(0, 6))), "".join(rng.choice("ab") for _ in range(rng.randint(0, 6)))) for _ in range(50)]
     got = spark.createDataFrame(pairs, "a string, b string").select(sim.levenshtein_percent(F.col("a"), F.col("b")) == sim.levenshtein_percent(F.col("b"), F.col("a"))).collect()
     assert all(r[0] for r in got)
+
+
+def test_canonical_tokens(spark):
+    rows = ["Acme Private Limited, Inc.", "Company company co x", "Café & Co.", None, "", "  a\u2003bb\u00a0cc\n"]
+    table = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, x string").orderBy("i")
+    for got, plain in table.select(text.canonical_tokens("x"), text.tokens(text.clean_canonical("x"))).collect():
+        assert got == plain
+
+
+def test_repeated_tokens_are_also_compared_once():
+    assert round(sim.wratio("bc bc bc ab", "bcdb ccda cdcd caa acdd baab abac"), 1) == 85.5
+    assert sim.partial_token_ratio("ab ab", "cd ab") == 100
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", max_size=12), st.text("abc", max_size=20))
+def test_partial_ratio_looks_at_all_pieces(a, b):
+    x, y = sorted((a, b), key=len)
+    pieces = lambda p, q: [q[max(0, i) : i + len(p)] for i in range(1 - len(p), len(q))]
+    best = max([sim.ratio(x, q) for q in pieces(x, y)] + ([sim.ratio(y, q) for q in pieces(y, x)] if len(x) == len(y) else []), default=0.0) if x else (0.0 if y else 100.0)
+    assert sim.partial_ratio(a, b) == pytest.approx(best)
