@@ -1,56 +1,33 @@
-"""What the operators of this package share: tables in the shared folder, skew-safe joins, nullable columns."""
+"""What the operators of this package share: skew-safe joins, numbered rows, bounded batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import discard, new_path, release, shared_folder, stored
+
+__all__ = ["discard", "documents", "new_path", "release", "shared_folder", "skew_join", "small_batches", "stored", "text_or_empty", "whole_row", "with_rows"]
+
 #: Keys that a skew-safe join sends by broadcast, whatever the size of its tables.
 HOT_KEYS = 1000
-#: Rows of an Arrow batch.
-BATCH = 1000
-
-_stored: list[str] = []
+#: Rows and bytes of an Arrow batch; a longer text is a batch of its own.
+BATCH, BATCH_BYTES = 1000, 32 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Python workers get few rows at a time, as one text may be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    """Python workers get few rows and bytes at a time, as texts may be very long. Smaller limits of the session stay."""
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in (("maxRecordsPerBatch", BATCH), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < as_bytes(spark.conf.get(key)) <= most:
+            spark.conf.set(key, most)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; in local mode a new one, where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written to a table in the shared folder and read again: it is computed once, and a lost executor loses none of it."""
-    path = f"{shared_folder(df.sparkSession)}/tessera-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _stored.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Deletes the tables that this session has stored; results that read them must have been written."""
-    while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
     """left with the columns of right, which has one row for each key that isn't null (left outer join).
 
@@ -73,3 +50,16 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataF
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def whole_row(docs: DataFrame) -> DataFrame:
+    """_row: each row of docs as one column, so that no column of a caller's meets one of ours; doc_id and text beside it."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a number of its own for each row), text. The id serves where ids are unique; otherwise rows are numbered in a stored copy."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return docs.select("doc_id", F.col("doc_id").alias("row"), "text")
+    return stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
