@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, skew_join, small_batches, stored, text_or_empty
+from tessera.llm.common import documents, skew_join, small_batches, stored, with_rows
 from tessera.llm.hashing import mixed
 
 LENGTH, GRAM = 200, 32
@@ -30,8 +30,8 @@ STEP = 8
 SHARD = 4000
 #: Contexts that are sorted at once, more where one anchor has more.
 PIECE = 1000
-#: Rows that are broadcast at most; beyond that the join shuffles.
-BROADCAST_ROWS = 400_000
+#: Contexts, of about 80 bytes each, and bytes of spans that are broadcast at most; beyond that the join shuffles.
+BROADCAST_CONTEXTS, BROADCAST_BYTES = 400_000, 32 << 20
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 19
 
@@ -333,15 +333,6 @@ def merged_spans(rows: pd.DataFrame) -> pd.DataFrame:
     return spans_of(merged[good, 2].view(np.int64), merged[good, 3].view(np.int64))
 
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, row (a number of its own for each row), text. The id serves where ids are unique; otherwise rows are numbered in a stored copy."""
-    docs = docs.select("doc_id", text_or_empty().alias("text"))
-    twice = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
-    if twice.isEmpty():
-        return docs.select("doc_id", F.col("doc_id").cast("long").alias("row"), "text")
-    return stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-
-
 def contexts(rows: DataFrame) -> DataFrame:
     """row, place, anchor, context for each anchor of each row; place holds q, and how far the context reaches to both sides of it."""
 
@@ -382,7 +373,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     size = asked.agg(F.count("*"), F.count_if(F.col("shards") > 1)).first()
     requests = asked.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "start", "q", "end", "many", "shards")).alias("asked"))
     requests = stored(requests, "requests")
-    texts = rows.select("row", "text").join(F.broadcast(requests) if size[0] <= BROADCAST_ROWS else requests, "row")
+    texts = rows.select("row", "text").join(F.broadcast(requests) if size[0] <= BROADCAST_CONTEXTS else requests, "row")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -420,7 +411,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"row": batch["row"], "spans": out})
 
     spans = stored(spans.mapInPandas(join_spans, "row long, spans binary"), "spans")
-    small = spans.count() <= BROADCAST_ROWS
+    small = (spans.agg(F.sum(F.octet_length("spans") + 32)).first()[0] or 0) <= BROADCAST_BYTES
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
