@@ -1,9 +1,10 @@
 """N-gram Jaccard join by MinHash banding.
 
 Texts with equal sets of word shingles are one class. Bands of MinHash values of the classes are shuffled; classes that
-share a band are candidates, and the components of candidates are verified on their full sets: small components many to a
-task, large ones in a grid of blocks, so that no task gets an unbounded group. Of each block only link counts and a spanning
-forest of its links leave the task, not its pairs.
+share a band are candidates, verified on their full sets. A small component of candidates is compared as a whole, many to a
+task. A large one is compared either as a whole or by its buckets (the classes that share a band), whichever copies fewer
+sets; in both cases in a grid of blocks, so that no task gets an unbounded group. Of each block only link counts and a
+spanning forest of its links leave the task, not its pairs.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, skew_join, small_batches, stored, text_or_empty
+from tessera.llm.common import documents, skew_join, small_batches, stored, text_or_empty, whole_row, with_rows
 from tessera.llm.graph import components
 from tessera.llm.hashing import mixed, shingle_sets
 
@@ -54,16 +55,15 @@ def set_key(shingles: np.ndarray) -> str:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
 
 
-def signatures(docs: DataFrame, words: int, bands: int) -> DataFrame:
-    """doc_id, text_hash, set_key, bands for each row of docs."""
+def signatures(rows: DataFrame, words: int, bands: int) -> DataFrame:
+    """doc_id, row, text_hash, set_key, bands for each of rows (doc_id, row, text)."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = list(shingle_sets(batch["text"].tolist(), words))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "set_key": [set_key(s) for s in sets], "bands": list(band_hashes(sets, bands))})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "row": batch["row"], "text_hash": batch["text_hash"], "set_key": [set_key(s) for s in sets], "bands": list(band_hashes(sets, bands))})
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInPandas(sign, "doc_id long, text_hash long, set_key string, bands array<long>")
+    return rows.withColumn("text_hash", F.xxhash64("text")).mapInPandas(sign, "doc_id long, row long, text_hash long, set_key string, bands array<long>")
 
 
 def links(a: list[np.ndarray], b: list[np.ndarray] | None, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,10 +100,12 @@ def links(a: list[np.ndarray], b: list[np.ndarray] | None, similarity: tuple[int
 
 
 def verified(key: tuple, rows: pd.DataFrame, similarity: tuple[int, int]) -> pd.DataFrame:
-    """a, b, weight: for each class of a component with links, the weight of its links here (b null), and forest edges (weight null)."""
-    rows = rows.drop_duplicates("node")
+    """a, b, weight: for each class of a unit with links, the weight of its links here (b null), and forest edges (weight null).
+
+    Pairs in a bucket that share an earlier band are left to that band's bucket.
+    """
     out_a, out_b, out_w = [], [], []
-    for _, part in rows.groupby("label", sort=False):
+    for _, part in rows.groupby("unit", sort=False):
         sets = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
         node, weight, block = (part[c].to_numpy() for c in ("node", "weight", "block"))
         if part["i"].iloc[0] != part["j"].iloc[0]:
@@ -116,6 +118,11 @@ def verified(key: tuple, rows: pd.DataFrame, similarity: tuple[int, int]) -> pd.
             if len(sets) < 2:
                 continue
             x, y = links(sets, None, similarity)
+        band = int(part["band"].iloc[0])
+        if band > 0 and len(x):
+            held = np.stack(part["bands"].to_list())[:, :band]
+            first = ~(held[x] == held[y]).any(1)
+            x, y = x[first], y[first]
         if not len(x):
             continue
         got = np.bincount(x, weight[y], len(node)) + np.bincount(y, weight[x], len(node))
@@ -141,19 +148,37 @@ def verified(key: tuple, rows: pd.DataFrame, similarity: tuple[int, int]) -> pd.
     return pd.DataFrame({"a": pd.array(out_a, "Int64"), "b": pd.array(out_b, "Int64"), "weight": pd.array(out_w, "Int64")})
 
 
+def units(candidate: DataFrame, classes: DataFrame, buckets: DataFrame) -> tuple[DataFrame, bool]:
+    """node, unit, m (its classes), band (-1 if a unit is a component): what each candidate is compared in; and whether any unit is a bucket."""
+    sizes = stored(candidate.groupBy("label").agg(F.count("*").alias("m")), "sizes")
+    cost = lambda n: F.col(n) * F.ceil(F.col(n) / BLOCK)  # copies of sets that a unit of n classes needs
+    of = buckets.join(candidate.withColumnRenamed("node", "least"), "least").join(sizes.where(F.col("m") > BLOCK), "label")
+    split = stored(of.groupBy("label", "m").agg(F.sum(cost("n")).alias("_cost")).where(F.col("_cost") < cost("m")).select("label", "m"), "split")
+    whole = skew_join(candidate, sizes, "label", "m")
+    component = lambda df: df.select("node", F.concat(F.lit("c"), "label").alias("unit"), "m", F.lit(-1).alias("band"))
+    if split.isEmpty():
+        return component(whole), False
+    marked = skew_join(whole.drop("m"), split.withColumnRenamed("m", "_split"), "label", "_split")
+    parts = stored(marked.join(sizes, "label"), "marked")
+    apart = classes.join(parts.where("_split is not null").select("node"), "node", "left_semi").select("node", F.posexplode("bands").alias("band", "bucket"))
+    apart = skew_join(apart, buckets.select("bucket", "n"), "bucket", "n").where("n is not null")
+    return component(parts.where("_split is null")).unionByName(apart.select("node", F.concat(F.lit("b"), "bucket").alias("unit"), F.col("n").alias("m"), "band")), True
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """doc_id, text_hash, class_id, links, class_key for each row of docs.
 
     Two rows are linked if the Jaccard similarity of their sets of word shingles is similarity or more; words are in lower
     case and stand between characters that are no letters or digits. links: with how many other rows this row is linked.
     class_key: a number for each component of links; class_id: its least doc_id, null if none has one. Null texts count as
-    empty; texts without words are linked with each other. Repeated rows and repeated ids count row by row. An empty table
-    gives no rows.
+    empty; texts without words are linked with each other. Repeated rows and repeated ids count row by row, null ids like any
+    other row. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     bands = bands_for(similarity[0] / similarity[1], recall)
-    signed = stored(signatures(docs, words, bands), "signed")
-    grouped = signed.groupBy("set_key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"))
+    rows = with_rows(docs)
+    signed = stored(signatures(rows, words, bands), "signed")
+    grouped = signed.groupBy("set_key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("bands").alias("bands"))
     classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     exploded = classes.select("node", F.explode("bands").alias("bucket"))
@@ -161,26 +186,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     met = skew_join(exploded, buckets, "bucket", "n").where("least is not null and least <> node")
     candidate = stored(components(met.select(F.col("node").alias("a"), F.col("least").alias("b"))), "candidates")
 
-    sizes = stored(candidate.groupBy("label").agg(F.count("*").alias("m")), "sizes")
-    want = skew_join(candidate, sizes, "label", "m").join(classes.select("node", "set_key", "least_id", F.col("copies").alias("weight")), "node")
-    want = want.withColumn("side", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("side")).cast("int"))
-    want = stored(want.select("node", "label", F.col("set_key").alias("want_key"), F.coalesce("least_id", F.lit(-(1 << 63))).alias("want_id"), "weight", "side", "block"), "want")
-    rows = want.count()
-    rows_of = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("want_id"), text_or_empty().alias("text"))
-    texts = rows_of.join(F.broadcast(want) if rows <= BROADCAST_ROWS else want, "want_id")
+    placed, apart = units(candidate, classes, buckets)
+    side = F.ceil(F.col("m") / BLOCK).cast("int")
+    unit = F.struct("unit", "band", side.alias("side"), F.pmod(F.xxhash64("node"), side).cast("int").alias("block"))
+    placed = placed.groupBy("node").agg(F.collect_list(unit).alias("units"))  # one unit, or as many as there are bands
+    want = placed.join(classes.select("node", "set_key", "row", F.col("copies").alias("weight"), *(["bands"] if apart else [F.lit(None).cast("array<long>").alias("bands")])), "node")
+    want = stored(want.withColumnRenamed("set_key", "want_key"), "want")
+    number = want.count()
+    texts = rows.select("row", "text").join(F.broadcast(want) if number <= BROADCAST_ROWS and not apart else want, "row")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(shingle_sets(batch["text"].tolist(), words))
-            good = [set_key(s) == k for s, k in zip(found, batch["want_key"], strict=True)]
-            out = batch.drop(columns=["text", "want_key", "want_id"])[good]
-            yield out.assign(shingles=[s.tobytes() for s, g in zip(found, good, strict=True) if g])
+            if any(set_key(s) != k for s, k in zip(found, batch["want_key"], strict=True)):
+                raise ValueError("rows changed between two reads of the documents")
+            yield batch.drop(columns=["text", "want_key", "row"]).assign(shingles=[s.tobytes() for s in found])
 
-    full = texts.mapInPandas(sets, "node long, label long, weight long, side int, block int, shingles binary")
+    full = texts.mapInPandas(sets, "node long, units array<struct<unit: string, band: int, side: int, block: int>>, weight long, bands array<long>, shingles binary")
+    cells = full.withColumn("_u", F.explode("units")).select("node", "weight", "bands", "shingles", "_u.*")
     other = F.explode(F.sequence(F.lit(0), F.col("side") - 1))
-    cells = full.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    tasks = max(1, -(-rows // TASK))
-    cells = cells.withColumn("cell", F.when(F.col("side") == 1, F.pmod(F.xxhash64("label"), F.lit(tasks)).cast("string")).otherwise(F.concat_ws(":", F.lit("grid"), "label", "i", "j")))
+    cells = cells.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    tasks = max(1, -(-number // TASK))
+    cells = cells.withColumn("cell", F.when(F.col("side") == 1, F.pmod(F.xxhash64("unit"), F.lit(tasks)).cast("string")).otherwise(F.concat_ws(":", F.lit("grid"), "unit", "i", "j")))
     checked = cells.groupBy("cell").applyInPandas(lambda key, part: verified(key, part, similarity), "a long, b long, weight long")
     checked = stored(checked, "checked")
 
@@ -189,7 +216,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     found = classes.select("node", "set_key", "copies", "least_id").join(label, "node", "left").join(of, "node", "left")
     found = found.withColumn("class_key", F.coalesce("label", "node"))
     least = found.where("label is not null").groupBy(F.col("label").alias("_label")).agg(F.min("least_id").alias("_least"), F.count("*").alias("_n"))
-    found = skew_join(found, stored(least, "least").withColumnRenamed("_label", "label"), "label", "_n") if "label" in found.columns else found
+    found = skew_join(found, stored(least, "least").withColumnRenamed("_label", "label"), "label", "_n")
     found = found.select("set_key", "copies", "class_key", F.when(F.col("label").isNotNull(), F.col("_least")).otherwise(F.col("least_id")).alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     got = skew_join(signed.select("doc_id", "text_hash", "set_key"), stored(found, "found"), "set_key", "copies")
     return got.select("doc_id", "text_hash", "class_id", "links", "class_key")
@@ -197,10 +224,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs, with its columns, that have the least doc_id of their class of near-duplicates; one row for a class of equal rows or without ids."""
+    none = F.lit(-(1 << 63))
     keep = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("_k"))
-    keep = keep.select(F.coalesce("_k.doc_id", F.lit(-(1 << 63))).alias("_keep_id"), F.col("_k.text_hash").alias("_keep_hash"))
-    rows = docs.withColumns({"_keep_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_keep_hash": F.xxhash64(text_or_empty())})
-    return rows.join(keep, ["_keep_id", "_keep_hash"], "left_semi").dropDuplicates(["_keep_id", "_keep_hash"]).select(*docs.columns)
+    keep = keep.select(F.coalesce("_k.doc_id", none).alias("_id"), F.col("_k.text_hash").alias("_hash"))
+    rows = whole_row(docs).select("_row", F.coalesce(F.col("doc_id").cast("long"), none).alias("_id"), F.xxhash64(text_or_empty()).alias("_hash"))
+    return rows.join(keep, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select("_row.*")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
