@@ -40,10 +40,11 @@ CLASSES = (
 )
 #: What holds any run of a class.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,6}")
-#: Not secrets, however even their characters: placeholders, counting rows, unique ids, digits or letters alone, paths of words.
+#: Placeholders and counting rows: the part of a string in which one stands, up to the next of SEPARATORS, is no secret.
+PLACEHOLDER = re.compile(r"(?i)example|sample|placeholder|changeme|your(?=[_-])|dummy|redacted|x{6,}|0123456789|abcdefghij|qwertyuiop|fedcba")
+SEPARATORS = re.compile(r"[_/-]")
+#: Whole strings that are no secrets, however even their characters: unique ids, digits or letters alone, paths of words.
 ALLOWED = (
-    re.compile(r"(?i)example|sample|placeholder|changeme|your[_-]|dummy|redacted|x{6,}"),
-    re.compile(r"(?i)0123456789|abcdefghij|qwertyuiop|fedcba"),
     re.compile(r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"),
     re.compile(r"^[0-9_+/-]+$"),
     re.compile(r"^[A-Za-z_+/-]+$"),
@@ -85,19 +86,38 @@ def high_windows(string: str, window: int, least: float) -> list[tuple[int, int]
     return out
 
 
+def suspects(pattern: re.Pattern, text: str, start: int, end: int) -> Iterator[tuple[int, str]]:
+    """Where the strings of a class begin in a part of text, and what they are, without parts that hold a placeholder."""
+    for m in pattern.finditer(text, start, end):
+        whole = m.group()
+        if not PLACEHOLDER.search(whole):
+            yield m.start(), whole
+            continue
+        edges = [0, *(s.end() for s in SEPARATORS.finditer(whole)), len(whole)]
+        first = None
+        for a, b in zip(edges, edges[1:], strict=False):
+            if PLACEHOLDER.search(whole, a, b):
+                if first is not None:
+                    yield m.start() + first, whole[first:a]
+                first = None
+            elif first is None:
+                first = a
+        if first is not None:
+            yield m.start() + first, whole[first:]
+
+
 def entropy_spans(text: str) -> list[Span]:
     """Spans of even characters that hold both digits and letters; those of all classes are joined where they overlap."""
     found = []
     for run in RUN.finditer(text):
         for pattern, window, least, kinds in CLASSES:
-            for m in pattern.finditer(text, run.start(), run.end()):
-                whole = m.group()
+            for begin, whole in suspects(pattern, text, run.start(), run.end()):
                 if any(a.search(whole) for a in ALLOWED):
                     continue
                 for start, end in high_windows(whole, window, least):
                     part = whole[start:end]
                     if all(any(map(kind, part)) for kind in kinds):
-                        found.append((m.start() + start, m.start() + end))
+                        found.append((begin + start, begin + end))
     out: list[Span] = []
     for start, end in sorted(found):
         if out and start < out[-1][1]:
@@ -107,11 +127,24 @@ def entropy_spans(text: str) -> list[Span]:
     return out
 
 
+def within(spans: list[Span], others: list[Span]) -> set[Span]:
+    """Those of spans that lie within one of others: as others by start are passed, the farthest end so far decides."""
+    out, at, reach = set(), 0, -1
+    others = sorted(others)
+    for span in sorted(spans):
+        while at < len(others) and others[at][0] <= span[0]:
+            reach = max(reach, others[at][1])
+            at += 1
+        if span[1] <= reach:
+            out.add(span)
+    return out
+
+
 def secret_spans(text: str) -> list[Span]:
     """All spans by start, then kind as listed in KINDS. An entropy span within a base span says nothing new and is left out."""
-    base = base_spans(text)
-    more = [s for s in entropy_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
-    return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+    base, more = base_spans(text), entropy_spans(text)
+    known = within(more, base)
+    return sorted([*base, *(s for s in more if s not in known)], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
 def joined(spans: list[Span]) -> str:
@@ -119,7 +152,7 @@ def joined(spans: list[Span]) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, spans array of (start, end, kind) in code points, end exclusive, for each row of docs. Null texts count as empty; other columns are not read."""
+    """doc_id, spans array of (start, end, kind) in code points, end exclusive, for each row of docs, repeated ones too. Null texts count as empty and have none; other columns are not read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -131,7 +164,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """docs with each secret in text replaced by its kind in angle brackets, overlapping ones together, and n_chars to match. Other columns, null texts and clean texts stay as they are."""
+    """docs with each secret in text replaced by its kind in angle brackets, overlapping ones together, and n_chars to match.
+
+    Other columns, null, empty and clean texts stay as they are. Repeated rows are changed alike, row by row; no rows give none.
+    """
 
     def clean(text: str) -> str:
         out, at, spans = [], 0, secret_spans(text)
