@@ -1,7 +1,8 @@
 """Sharding by fixed virtual slots.
 
 Each record is hashed into one of a few thousand slots; bytes are summed by slot; a small versioned map says which shard
-owns each slot. Rebalancing edits that map and never rehashes a record.
+owns each slot. Rebalancing edits that map and never rehashes a record. Only the records of a slot that holds far more than
+its share, as when very many rows have one id and text, are dealt to slots by row, so that no slot outweighs a shard.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import documents, stored
 
 SLOTS, SHARDS = 4096, 8
-#: Edits in one rebalancing at most; each one lessens the distance of two shards.
-EDITS = 100_000
+#: A slot with so many times the mean bytes or rows of a slot is dealt out by row.
+HEAVY = 8
 
 
 @dataclass(frozen=True)
@@ -32,10 +33,14 @@ class SlotMap:
         return SlotMap(0, shards, tuple(i % shards for i in range(slots)))
 
     def rebalanced(self, weight: np.ndarray) -> SlotMap:
-        """Moves one slot, or exchanges two, between the heaviest and the lightest shard for as long as they come closer."""
+        """Moves one slot, or exchanges two, between the heaviest and the lightest shard for as long as they come closer.
+
+        Every edit lessens the sum of the squares of the loads, so this ends; then no slot of the heaviest shard is lighter
+        than the distance between the two.
+        """
         weight, owner = np.asarray(weight, np.int64), np.array(self.owner)
         load = np.bincount(owner, weight, self.shards).astype(np.int64)
-        for _ in range(EDITS):
+        while True:
             high, low = int(load.argmax()), int(load.argmin())
             gap = int(load[high] - load[low])
             if gap <= 1:
@@ -90,10 +95,10 @@ class SlotMap:
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size (UTF-8 bytes and 1; a null text has none), text_crc32, virtual_slot. Rows without a doc_id are spread by their text."""
+    """doc_id, size (UTF-8 bytes and 1; a null text has none), text_crc32, row, virtual_slot, by the hash of id and text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    return out.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_crc32"))), F.lit(slots)).cast("int"))
+    out = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+    return out.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int"))
 
 
 def slot_weights(records: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
@@ -104,15 +109,24 @@ def slot_weights(records: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np
     return size, rows
 
 
+def dealt(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """records, those of slots that hold HEAVY times the mean bytes or rows in slots by row."""
+    size, rows = slot_weights(records, slots)
+    heavy = np.flatnonzero(((size > HEAVY * size.mean()) | (rows > HEAVY * rows.mean())) & (rows > 1)).tolist()  # at most 2 * slots / HEAVY
+    by_row = F.pmod(F.xxhash64("doc_id", "text_crc32", "row"), F.lit(slots)).cast("int")
+    return records.withColumn("virtual_slot", F.when(F.col("virtual_slot").isin(heavy), by_row).otherwise(F.col("virtual_slot"))) if heavy else records
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, slot_map: SlotMap | None = None, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard, slot (the row's place in its shard, gapless from 0), map_version.
 
     slot_map: the map to edit, else an even one; the edited one is stored at map_path if that is given. Law: bytes of the
-    shards near equal. Equal doc_ids share a virtual slot; ties in it are ordered by checksum and size, and rows that agree
-    in all of that are interchangeable. An empty table gives no rows.
+    shards near equal, as far as single records allow. Rows of one id and text share a virtual slot, unless these are so many
+    that they are dealt out; ties in a slot are ordered by checksum and size, and rows that agree in all of that are
+    interchangeable. Null ids are ids like any other, null texts empty. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    records = stored(slotted(docs, slots), "slots")
+    records = dealt(stored(slotted(docs, slots), "slots"), slots)
     size, rows = slot_weights(records, slots)
     edited = (slot_map or SlotMap.even(slots, shards)).rebalanced(size)
     if map_path:
@@ -122,7 +136,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, s
         own = np.flatnonzero(owner == s)
         first[own] = np.cumsum(rows[own]) - rows[own]
     table = spark.createDataFrame([(i, int(owner[i]), int(first[i])) for i in range(slots)], "virtual_slot int, shard int, _first long")
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
+    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "row"))
     got = records.withColumn("_place", place).join(F.broadcast(table), "virtual_slot")  # broadcast: one row for each slot
     return got.select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("_first") + F.col("_place") - 1).alias("slot"), F.lit(edited.version).alias("map_version"))
 
