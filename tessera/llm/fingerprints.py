@@ -6,6 +6,7 @@ its bytes. Documents of equal digests are compared byte by byte; should two diff
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,36 +31,49 @@ def wide_hash(data: Column) -> Column:
     return F.lower(F.concat(digits(F.xxhash64(data)), digits(F.xxhash64(F.lit("wide"), data))))
 
 
-def boundaries(docs: DataFrame) -> tuple[list[int], bool]:
-    """Ids that cut the table in parts of about PART_ROWS rows, each an id that occurs, the least first; and whether an id is null."""
+def parted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with _crc and _part, parts of about PART_ROWS rows that rise with id, null first, and checksum; and the parts that hold rows: _part, _least (its least id and checksum), _prev (the part before, the last before the first).
+
+    Parts are cut at approximate quantiles of the ids. An id that fills several is one range of its own, cut by checksum, and
+    so are null ids; without such ids no checksum is needed and _crc is 0.
+    """
     rows, nulls = docs.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
     parts = max(1, min(PARTS, rows // PART_ROWS))
-    at = docs.agg(F.min("doc_id").alias("least"), F.percentile_approx("doc_id", [i / parts for i in range(parts)], max(10_000, 4 * parts)).alias("cuts")).first()
-    return (sorted({at["least"], *at["cuts"]}) if rows else [], nulls > 0)
+    quantiles = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(parts)], max(10_000, 4 * parts))).first()[0] or []
+    heavy = {c: n for c, n in Counter(quantiles).items() if n > 1}
+    cuts = sorted({*quantiles, *(c + 1 for c in heavy if c < (1 << 63) - 1)})
+    nulls = -(-min(nulls, PARTS * PART_ROWS) // PART_ROWS)
+    crc = F.crc32("text") if heavy or nulls > 1 else F.lit(0).cast("long")
+    sub = lambda n: F.floor(F.col("_crc") * n / (1 << 32)).cast("int")
+    upto = lambda ids: F.size(F.filter(ids, lambda x: x <= F.col("doc_id")))
+    part = F.lit(nulls)
+    if cuts:
+        step = max(1, int(len(cuts) ** 0.5))
+        groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+        group = F.greatest(upto(F.lit([g[0] for g in groups])), F.lit(1))
+        part = part + (group - 1) * step + upto(F.element_at(F.array(*[F.lit(g) for g in groups]), group))
+    if heavy:
+        table = F.array(*[F.struct(F.lit(c).alias("id"), F.lit(n).alias("n")) for c, n in sorted(heavy.items())])
+        part = part + F.aggregate(table, F.lit(0), lambda s, h: s + F.when(h["id"] < F.col("doc_id"), h["n"] - 1).when(h["id"] == F.col("doc_id"), sub(h["n"])).otherwise(0))
+    docs = docs.withColumn("_crc", crc).withColumn("_part", F.when(F.col("doc_id").isNull(), sub(nulls)).otherwise(part).cast("int"))
+    first = sorted(docs.groupBy("_part").agg(F.min(F.struct("doc_id", "_crc")).alias("least")).collect())  # a row for each part
+    rows = [(r["_part"], tuple(r["least"]), first[i - 1]["_part"]) for i, r in enumerate(first)]
+    kind = f"struct<doc_id: {docs.schema['doc_id'].dataType.simpleString()}, _crc: bigint>"
+    return docs, docs.sparkSession.createDataFrame(rows, f"_part int, _least {kind}, _prev int")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text: of the document with the next greater id, ties by text; after the last comes the first.
+    """doc_id, text, next_text: of the document with the next greater id, ties by checksum, then text; after the last comes the first.
 
-    A null id is less than any other. The table is cut at ids; the first rows of each part are also put at the end of the
-    part before, so one exchange by part brings each document and its successor together, without a sort of all rows.
+    A null id is less than any other. The first rows of each part are also put at the end of the part before, so one exchange
+    by part brings each document and its successor together, without a sort of all rows.
     """
-    cuts, nulls = boundaries(docs)
-    if not cuts:  # no ids at all
-        cuts, last, part = [], 1, F.lit(1)
-    else:
-        step = max(1, int(len(cuts) ** 0.5))
-        groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-        upto = lambda ids: F.size(F.filter(ids, lambda x: x <= F.col("doc_id")))
-        group = F.greatest(upto(F.lit([g[0] for g in groups])), F.lit(1))
-        inner = upto(F.element_at(F.array(*[F.lit(g) for g in groups]), group))
-        last, part = len(cuts), F.when(F.col("doc_id").isNull(), 1).otherwise((group - 1) * step + inner)
-    first_of_all = F.col("doc_id").isNull() if nulls else F.col("doc_id") == (cuts[0] if cuts else None)
-    rows = docs.select("doc_id", text_or_empty().alias("text"), part.alias("_part"))
-    begins = F.col("doc_id").isin(cuts[1:]) if len(cuts) > 1 else F.lit(False)
-    also = F.array_compact(F.array(F.struct(F.col("_part").alias("part"), F.lit(0).alias("extra")), F.when(begins, F.struct((F.col("_part") - 1).alias("part"), F.lit(1).alias("extra"))), F.when(first_of_all, F.struct(F.lit(last).alias("part"), F.lit(2).alias("extra")))))
+    rows, parts = parted(docs.select("doc_id", text_or_empty().alias("text")))
+    rows = rows.join(F.broadcast(parts), "_part")  # 3 * PARTS rows at most
+    begins = F.struct("doc_id", "_crc").eqNullSafe(F.col("_least"))
+    also = F.array_compact(F.array(F.struct(F.col("_part").alias("part"), F.lit(0).alias("extra")), F.when(begins, F.struct(F.col("_prev").alias("part"), F.lit(1).alias("extra")))))
     rows = rows.withColumn("_in", F.explode(also)).select("doc_id", "text", F.col("_in.part").alias("_part"), F.col("_in.extra").alias("_extra"))
-    order = Window.partitionBy("_part").orderBy("_extra", F.col("doc_id").asc_nulls_first(), "text")
+    order = Window.partitionBy("_part").orderBy("_extra", F.col("doc_id").asc_nulls_first(), F.crc32("text"), "text")
     return rows.withColumn("next_text", F.lead("text").over(order)).where("_extra = 0").select("doc_id", "text", "next_text")
 
 
@@ -80,7 +94,8 @@ def fingerprinted(docs: DataFrame, digest: Callable[[Column], Column] = wide_has
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of docs.
 
     The edited text has the last half of its code points (rounded down) replaced by the first as many of the next document,
-    or by all of them where it has fewer. Likeness is 1 for equal canonical bytes, else 0. Null texts count as empty.
+    or by all of them where it has fewer. Likeness is 1 for equal canonical bytes, else 0. Null texts count as empty, repeated
+    rows and ids one by one. An empty table gives no rows.
     """
     rows = with_next(docs)
     half = F.floor(F.length("text") / 2).cast("int")
@@ -91,16 +106,10 @@ def fingerprinted(docs: DataFrame, digest: Callable[[Column], Column] = wide_has
     edited = F.when(~F.col("_same") & (F.col("_edited_print") == F.col("fingerprint")), F.concat("_edited_print", F.lit("-edited"))).otherwise(F.col("_edited_print"))
     one = lambda c: F.when(F.col(c), 1.0).otherwise(0.0)
     found = stored(rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", edited.alias("edited_fingerprint"), one("_same").alias("near_edited"), one("_same_next").alias("near_next")), "prints")
-    several = stored(colliding(docs, found, digest), "colliding")
-    if several.isEmpty():
+    if colliding(docs, found, digest).isEmpty():
         return found
-    # Rows of a digest that stands for different bytes: the digest is made longer by a second, cryptographic one.
-    longer = docs.select("doc_id", canonical(text_or_empty()).alias("_bytes")).withColumn("fingerprint", digest(F.col("_bytes"))).join(several, "fingerprint", "left_semi")
-    longer = longer.select("doc_id", "fingerprint", F.sha2(F.col("_bytes").cast("binary"), 256).alias("_sha")).dropDuplicates()
-    got = found.join(longer, (found["doc_id"].eqNullSafe(longer["doc_id"])) & (found["fingerprint"] == longer["fingerprint"]), "left")
-    own = F.when(F.col("_sha").isNotNull(), F.concat(found["fingerprint"], F.lit("-"), "_sha")).otherwise(found["fingerprint"])
-    edited = F.when(F.col("near_edited") == 1, own).otherwise(F.col("edited_fingerprint"))
-    return got.select(found["doc_id"], "n_chars", "edited_sha256", own.alias("fingerprint"), edited.alias("edited_fingerprint"), "near_edited", "near_next")
+    # Some digest stands for different bytes: all are made longer by a second, cryptographic one.
+    return fingerprinted(docs, lambda c: F.concat(digest(c), F.lit("-"), F.sha2(c.cast("binary"), 256)))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
