@@ -1,9 +1,10 @@
 """Exact top-k search with a vector-approximation file.
 
 Every component of every vector is quantised to one of a few cells; the file holds the cells of all vectors, in blocks. A
-search scans that file alone: cells bound each score from below and above, and a vector is a candidate while its upper bound
-reaches the k-th best lower bound. Exact vectors are then read in the order of their bounds, and of the rest only those
-whose bound still reaches the k-th exact score. Equal vectors stand in the file once.
+search scans that file alone, in place, for as many queries at once as a fixed number of bytes holds: cells bound each score
+from below and above. The first scan finds each query's k-th best lower bound among all vectors, the second the vectors
+whose upper bound reaches it, which are the candidates. Exact vectors are then read in the order of their bounds, and of the
+rest only those whose bound still reaches the k-th exact score. Equal vectors stand in the file once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,15 @@ from tessera.llm.common import small_batches, stored
 K, SCALE, QUERIES_EVERY = 20, 64, 20
 #: Cells of a component.
 CELLS = 64
-#: Queries of a block, and blocks of the file that one task scans.
-QUERY_BLOCK, GROUP = 2048, 64
+#: Queries of a block, and bytes of queries that are sent to all tasks at once.
+QUERY_BLOCK, SENT_BYTES = 2048, 32 << 20
 
 
 def whole_numbers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, v: components as floor(scale * x). Rows whose id or vector is null, or holds a null, NaN or infinity, take no part; nor do empty vectors."""
+    """vec_id, v: components as floor(scale * x). Rows whose id or vector is null, or whose vector holds a null, NaN or infinity, take no part; an empty vector is one of no components."""
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     floors = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where((F.size("embedding") > 0) & good).select("vec_id", floors.alias("v"))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(good).select("vec_id", floors.alias("v"))
 
 
 def classes(vectors: DataFrame, keep: int) -> DataFrame:
@@ -47,13 +49,17 @@ def ranges(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def cells_of(cells: dict, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    return cells[dim] if dim else (np.zeros(0, np.int64), np.ones(0, np.int64))
+
+
 def approximations(found: DataFrame, cells: dict) -> DataFrame:
     """dim, n, ids, cells: the file, a row for each block of vectors, one byte for each component."""
 
     def quantise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, rows in batch.groupby(batch["v"].map(len)):
-                low, width = cells[int(dim)]
+                low, width = cells_of(cells, int(dim))
                 v = np.stack(rows["v"].to_list()).astype(np.int64)
                 yield pd.DataFrame({"dim": [int(dim)], "n": [len(rows)], "ids": [rows["class_id"].to_numpy(np.int64).tobytes()], "cells": [((v - low) // width).astype(np.uint8).tobytes()]})
 
@@ -83,36 +89,67 @@ def bounds(q: np.ndarray, c: np.ndarray, low: np.ndarray, width: np.ndarray) ->
     return at_least + (np.minimum(q, 0).astype(kind) @ spread)[:, None], at_least + (np.maximum(q, 0).astype(kind) @ spread)[:, None]
 
 
-def candidates(file: DataFrame, blocks: DataFrame, number: int, cells: dict, k: int) -> DataFrame:
-    """query_id, class_id, low, high: of each group of blocks, what may be among a query's k best of the group."""
-    groups = max(8, -(-file.count() // GROUP))
-    spread = file.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(number - 1))))
-    asked = blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-
-    def scan(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        low, width = cells[int(key[0])]
-        out = []
-        for _, block in left.iterrows():
-            query_ids = np.frombuffer(block["ids"], np.int64)
-            q = np.frombuffer(block["vectors"], np.int64).reshape(len(query_ids), -1)
-            best, held = None, []
-            for ids, raw in zip(right["ids"], right["cells"], strict=True):
-                ids = np.frombuffer(ids, np.int64)
-                least, most = bounds(q, np.frombuffer(raw, np.uint8).reshape(len(ids), -1), low, width)
-                best = least if best is None else np.concatenate([best, least], 1)
-                if best.shape[1] > k:
-                    best = -np.partition(-best, k - 1, 1)[:, :k]
-                reach = best.min(1) if best.shape[1] >= k else np.full(len(q), -np.inf)
-                at, of = np.nonzero(most >= reach[:, None])
-                held.append((at, ids[of], least[at, of], most[at, of]))
-            if held:
-                at, ids, least, most = (np.concatenate(x) for x in zip(*held, strict=True))
-                stay = most >= reach[at]
-                out.append(pd.DataFrame({"query_id": query_ids[at[stay]], "class_id": ids[stay], "low": least[stay].astype(np.int64), "high": most[stay].astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "class_id": [], "low": [], "high": []}).astype("int64")
-
-    keys = ["dim", "q", "g"]
-    return asked.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(scan, "query_id long, class_id long, low long, high long")
+def unpacked(blocks: list, reach: dict[int, int] | None = None) -> dict[int, list]:
+    """Blocks of queries by their number of components: ids, vectors and, where reach is given, the bound to be reached."""
+    out: dict[int, list] = {}
+    for b in blocks:
+        ids = np.frombuffer(b["ids"], np.int64)
+        bound = None if reach is None else np.array([reach.get(i, -np.inf) for i in ids.tolist()])
+        out.setdefault(b["dim"], []).append((ids, np.frombuffer(b["vectors"], np.int64).reshape(len(ids), b["dim"]), bound))
+    return out
+
+
+def least_bounds(file: DataFrame, sent: Broadcast, cells: dict, k: int) -> DataFrame:
+    """query_id, reach: the k-th best lower bound of each query that has so many."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks, best = unpacked(sent.value), {}
+        for batch in batches:
+            for dim, n, raw in zip(batch["dim"].tolist(), batch["n"].tolist(), batch["cells"], strict=True):
+                c = np.frombuffer(raw, np.uint8).reshape(n, dim)
+                for at, (_, q, _) in enumerate(blocks.get(dim, [])):
+                    least = bounds(q, c, *cells_of(cells, dim))[0]
+                    least = np.concatenate([best[dim, at], least], 1) if (dim, at) in best else least
+                    best[dim, at] = -np.partition(-least, k - 1, 1)[:, :k] if least.shape[1] > k else least
+        for (dim, at), least in best.items():
+            yield pd.DataFrame({"query_id": blocks[dim][at][0], "lows": list(least.astype(np.int64))})
+
+    lows = file.select("dim", "n", "cells").mapInPandas(scan, "query_id long, lows array<long>")
+    best = F.sort_array(F.flatten(F.collect_list("lows")), asc=False)
+    return lows.groupBy("query_id").agg(F.get(best, F.lit(k - 1)).alias("reach")).where("reach is not null")
+
+
+def candidates(file: DataFrame, sent: Broadcast, reach: dict[int, int], cells: dict) -> DataFrame:
+    """query_id, class_id, high: the vectors whose upper bound reaches a query's k-th lower bound."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks = unpacked(sent.value, reach)
+        for batch in batches:
+            for dim, n, ids, raw in zip(batch["dim"].tolist(), batch["n"].tolist(), batch["ids"], batch["cells"], strict=True):
+                c, ids = np.frombuffer(raw, np.uint8).reshape(n, dim), np.frombuffer(ids, np.int64)
+                for query_ids, q, bound in blocks.get(dim, []):
+                    most = bounds(q, c, *cells_of(cells, dim))[1]
+                    at, of = np.nonzero(most >= bound[:, None])
+                    yield pd.DataFrame({"query_id": query_ids[at], "class_id": ids[of], "high": most[at, of].astype(np.int64)})
+
+    return file.mapInPandas(scan, "query_id long, class_id long, high long")
+
+
+def searched(file: DataFrame, queries: DataFrame, cells: dict, k: int) -> DataFrame:
+    """candidates() of all queries, in turns of SENT_BYTES of queries, each turn stored."""
+    spark = file.sparkSession
+    longest = queries.agg(F.max(F.size("v"))).first()[0] or 0
+    blocks, number = query_blocks(queries, QUERY_BLOCK)
+    blocks = stored(blocks, "query-blocks")
+    each = max(1, SENT_BYTES // (QUERY_BLOCK * 8 * (longest + 1)))
+    found = spark.createDataFrame([], "query_id long, class_id long, high long")
+    for at in range(0, number, each):
+        turn = blocks.where((F.col("q") >= at) & (F.col("q") < at + each)).select("dim", "ids", "vectors").collect()  # SENT_BYTES, or one block
+        sent = spark.sparkContext.broadcast([r.asDict() for r in turn])
+        reach = dict(least_bounds(file, sent, cells, k).collect())  # a number for each query of the turn
+        found = found.unionByName(stored(candidates(file, sent, reach, cells), "near"))
+        sent.unpersist()
+    return found
 
 
 def score(a: str, b: str) -> Column:
@@ -131,14 +168,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     queries = stored(queries, "queries")
     cells = ranges(found)
     file = stored(approximations(found, cells), "va-file")
-    blocks, number = query_blocks(queries, QUERY_BLOCK)
-    near = candidates(file, stored(blocks, "query-blocks"), number, cells, k + 1)  # one more: a query's own class may hold it alone
-    by_low = Window.partitionBy("query_id").orderBy(F.col("low").desc(), "class_id")
+    near = searched(file, queries, cells, k + 1)  # one more: a query's own class may hold it alone
     by_high = Window.partitionBy("query_id").orderBy(F.col("high").desc(), "class_id")
-    near = near.withColumn("_n", F.row_number().over(by_low))
-    reach = F.max(F.when(F.col("_n") == k + 1, F.col("low"))).over(Window.partitionBy("query_id"))
-    near = near.withColumn("_reach", reach).where(F.col("_reach").isNull() | (F.col("high") >= F.col("_reach")))
-    near = stored(near.withColumn("turn", F.row_number().over(by_high)).select("query_id", "class_id", "high", "turn"), "near")
+    near = stored(near.withColumn("turn", F.row_number().over(by_high)), "turns")
 
     def exact(pairs: DataFrame) -> DataFrame:
         got = pairs.join(found.select("class_id", "v", "ids"), "class_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("_q")), "query_id")
@@ -159,9 +191,9 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_OP7 = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
