@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, small_batches
@@ -20,8 +20,9 @@ from tessera.llm.common import documents, small_batches
 #: Entries of the table of vectors, and their length.
 TABLE, DIM = 1 << 16, 12
 NGRAMS = (2, 3, 4)
-#: Labelled documents of each class that training reads at most, those with the smallest hashes of their ids; the document count is the bound.
-SAMPLE = 1500
+#: Labelled documents of each class that training reads at most, those with the smallest hashes of their ids, and bytes of
+#: their features, of which the documents of greater hashes are left out beyond that.
+SAMPLE, SAMPLE_BYTES = 1500, 192 << 20
 EPOCHS, RATE, SEED = 6, 0.5, 7
 THRESHOLD = 0.3
 #: Bytes of text that are hashed at once.
@@ -40,7 +41,7 @@ def _slot(h: np.ndarray, salt: int) -> np.ndarray:
 def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For some of the texts at a time, in order: the number of each one's features, and the table entries of all.
 
-    Features: n-grams over the UTF-8 bytes of words with a blank on each side, the words, and pairs of neighbouring words.
+    Features: n-grams over the UTF-8 bytes of words with a blank on each side, none of which is all of that, the words, and pairs of neighbouring words.
     A text without words has none.
     """
     at = 0
@@ -90,8 +91,12 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = end
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, label and the features of the sampled labelled documents: entries and counts, as bytes. Rows without doc_id or label are left out; an id with both labels counts as 0."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_BYTES) -> DataFrame:
+    """doc_id, label and the features of the sampled labelled documents: entries and counts, as bytes.
+
+    Rows without doc_id or label are left out, an id with both labels counts as 0, and of several rows of an id the least
+    text counts. At most sample documents of each class, and about most bytes of them together. Null texts have no features.
+    """
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
     picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     picked = picked[0].unionByName(picked[1])
@@ -107,22 +112,25 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
                     rows.append((e.astype("<i4").tobytes(), n.astype("<f4").tobytes()))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "entries": [r[0] for r in rows], "counts": [r[1] for r in rows]})
 
-    got = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows
-    return got.mapInPandas(hashed, "doc_id long, label int, entries binary, counts binary")
+    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows
+    got = got.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # partial: a repeated id leaves a task once
+    got = got.mapInPandas(hashed, "doc_id long, label int, entries binary, counts binary")
+    upto = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # sample rows at most
+    held = F.sum(F.octet_length("entries") + F.octet_length("counts")).over(upto)
+    return got.withColumn("_held", held).where(F.col("_held") <= most // 2).drop("_held")
 
 
-def train(rows: list, share: tuple[float, float] = (0.5, 0.5), epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, float]:
-    """The log odds of label 1 that each table entry adds, and the bias. rows: label, entries, counts.
+def learnt(rows: list, share: tuple[float, float] = (0.5, 0.5), epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The learned vectors of all table entries, and weights and biases of the classes. rows: label, entries, counts, of both classes.
 
-    share: of each class among all labels, by which the sampled rows weigh; rows are taken in an order that seed decides. With rows of one
-    class or none, the odds are those of the class alone or even.
+    share: of each class among all labels, by which the sampled rows weigh; rows are taken in an order that seed decides.
+    Each step goes down the gradient of the log loss of one document, steps of a document's vectors scaled by the root of
+    their number.
     """
     rng = np.random.default_rng(seed)
     data = [(int(r[0]), np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<f4")) for r in sorted(rows, key=lambda r: (r[0], r[1], r[2]))]
-    data = [(y, e, c / c.sum()) for y, e, c in data if len(e)]
+    data = [(y, e, c / c.sum()) for y, e, c in data]
     held = np.bincount([y for y, _, _ in data], minlength=2)
-    if not held.all():
-        return np.zeros(TABLE, np.float32), float(np.sign(held[1] - held[0])) * 4
     vectors = rng.normal(0, 1 / DIM, (TABLE, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
     weight = np.array(share) * len(data) / held
@@ -132,20 +140,39 @@ def train(rows: list, share: tuple[float, float] = (0.5, 0.5), epochs: int = EPO
             y, e, c = data[i]
             now = rate * (1 - done / steps) * weight[y]
             done += 1
-            mean = c @ vectors[e]
-            z = out @ mean + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[y] -= 1
-            back = out.T @ p
-            out -= now * np.outer(p, mean)
-            bias -= now * p
-            vectors[e] -= (now * len(e) ** 0.5) * c[:, None] * back
+            step_vectors, step_out, step_bias = gradient(vectors[e], c, out, bias, y)
+            out -= now * step_out
+            bias -= now * step_bias
+            vectors[e] -= now * len(e) ** 0.5 * step_vectors
+    return vectors, out, bias
+
+
+def gradient(vectors: np.ndarray, share: np.ndarray, out: np.ndarray, bias: np.ndarray, label: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the log loss of a document with these vectors in these shares: by vector, by class weights, by class biases."""
+    mean = share @ vectors
+    z = out @ mean + bias
+    p = np.exp(z - z.max())
+    p /= p.sum()
+    p[label] -= 1
+    return share[:, None] * (out.T @ p), np.outer(p, mean), p
+
+
+def train(rows: list, share: tuple[float, float] = (0.5, 0.5), epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, float]:
+    """The log odds of label 1 that each table entry adds, and the bias. rows: label, entries, counts; those without entries are left out.
+
+    With rows of one class or none, the odds are those of the class alone or even.
+    """
+    rows = [r for r in rows if len(r[1])]
+    held = np.bincount([int(r[0]) for r in rows], minlength=2)
+    if not held.all():
+        return np.zeros(TABLE, np.float32), float(np.sign(held[1] - held[0])) * 4
+    vectors, out, bias = learnt(rows, share, epochs, rate, seed)
     return vectors @ (out[1] - out[0]), float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    rows = training_rows(docs, labels, sample).select("label", "entries", "counts").collect()  # at most 2 * sample
+    """train() on the sampled rows of docs, each class weighing as it does among all labels. Repeated ids count once; without documents or labels the odds are even."""
+    rows = training_rows(docs, labels, sample).select("label", "entries", "counts").collect()  # at most 2 * sample rows and SAMPLE_BYTES
     of = dict(labels.where("quality in (0, 1)").groupBy("quality").count().collect())
     total = max(1, sum(of.values()))
     return train(rows, (of.get(0, 0) / total, of.get(1, 0) / total))
