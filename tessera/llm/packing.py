@@ -2,9 +2,10 @@
 
 The lengths of all pieces are counted; the configuration linear program over that histogram (how often is each pattern of
 lengths used) is solved by multiplicative weights, a knapsack dynamic program over the current prices giving the next
-pattern, until every length is covered; the solution is rounded, what rounding leaves is solved again, and the last few
-pieces are packed best fit decreasing. Where best fit decreasing alone needs fewer sequences, it is used. The histogram has no more entries than the capacity, so the driver's work does not grow with the input; the
-pieces find their sequence by their rank among pieces of equal length.
+pattern. The solution is rounded: patterns that leave no more room than a round tolerates are used as often as whole pieces
+are there, and the program is solved again for what is left, with more tolerance each time; the last few pieces are packed
+best fit decreasing. The histogram has no more entries than the capacity, so the driver's work does not grow with the input;
+the pieces find their sequence by their rank among pieces of equal length.
 """
 
 from __future__ import annotations
@@ -25,8 +26,12 @@ CAPACITY = 2048
 END = 0
 #: Pieces of one length are ranked in so many parts.
 PARTS = 256
-#: How often the program is solved: for all pieces, then for what rounding leaves.
-ROUNDS = 2
+#: Room that a pattern may leave in each round of the program: for all pieces, then for what rounding leaves; any in the last.
+TOLERATED = (0, 0, 0, 1, 2, 4, 16, 64, 256, 1 << 30)
+#: Patterns in a row that leave more room, after which a round ends: few lengths are left that fill a sequence together.
+MISSES = 40
+#: First prices are lengths to these powers; the second is only tried where the first needs more sequences than GAP above their bound.
+POWERS, GAP = (1.0, 1.1), 0.001
 #: So few pieces are packed without a linear program.
 FEW = 200
 
@@ -101,21 +106,26 @@ def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int,
     return out
 
 
-def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
+def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int, tolerated: int, power: float = 1.0) -> list[tuple[dict[int, int], float]]:
     """Patterns and how often to use each, from multiplicative weights: a length's price falls as its pieces get covered.
 
-    Goes on until every length is covered. Each step covers half or more of the pieces of one length still priced, so there are two steps a length at most.
+    Goes on until every length is covered, or MISSES patterns in a row leave more room than is tolerated; these are left out.
+    Each step covers all pieces of one length that is still priced, so there are no more steps than lengths and such misses.
     """
-    covered, used = np.zeros(len(lengths)), []
+    covered, used, missed = np.zeros(len(lengths)), [], 0
     eta = np.log(len(lengths) + 1) / 2
-    while len(need := np.flatnonzero(covered < count)):
-        price = (lengths[need] / capacity) * np.exp(-eta * covered[need] / count[need])
+    while missed < MISSES and len(need := np.flatnonzero(covered < count)):
+        price = (lengths[need] / capacity) ** power * np.exp(-eta * covered[need] / count[need])
         pattern = {int(need[i]): a for i, a in knapsack(price, lengths[need], capacity).items()}
         at = np.fromiter(pattern, np.int64)
         a = np.fromiter(pattern.values(), np.float64)
-        step = max(float(np.min(np.minimum(count[at] / 2, count[at] - covered[at]) / a)), 0.5)
+        step = max(float(np.min((count[at] - covered[at]) / a)), 0.5)
         covered[at] += a * step
-        used.append((pattern, step))
+        if capacity - int(lengths[at] @ a) <= tolerated:
+            used.append((pattern, step))
+            missed = 0
+        else:
+            missed += 1
     return used
 
 
@@ -149,15 +159,14 @@ def best_fit(count: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
     return [(p, n) for by in room.values() for p, n in by.items() if n]
 
 
-def program(count: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[Pattern, int]], dict[int, int]]:
-    """The rounded solution of the configuration program, and the pieces by length that it leaves."""
+def program(count: dict[int, int], capacity: int = CAPACITY, power: float = 1.0) -> tuple[list[tuple[Pattern, int]], dict[int, int]]:
+    """The rounded solutions of the configuration program, and the pieces by length that they leave."""
     left, out = {k: n for k, n in count.items() if n}, []
-    for _ in range(ROUNDS):
+    for tolerated in TOLERATED:
         if sum(left.values()) < FEW:
             break
         lengths = np.array(sorted(left))
-        before = sum(left.values())
-        for pattern, step in fractional(lengths, np.array([left[int(k)] for k in lengths], float), capacity):
+        for pattern, step in fractional(lengths, np.array([left[int(k)] for k in lengths], float), capacity, tolerated, power):
             items = {int(lengths[i]): a for i, a in pattern.items()}
             n = min([int(np.ceil(step)), *(left.get(k, 0) // a for k, a in items.items())])
             if n > 0:
@@ -165,20 +174,32 @@ def program(count: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple
                 for k, a in items.items():
                     left[k] -= a * n
         left = {k: n for k, n in left.items() if n}
-        if sum(left.values()) > 0.95 * before:
-            break
     return out, left
 
 
+def sequences(patterns: list[tuple[Pattern, int]]) -> int:
+    return sum(n for _, n in patterns)
+
+
+def bound(count: dict[int, int], capacity: int = CAPACITY) -> int:
+    """So many sequences are needed at least: for all tokens, and for the pieces of which no two fit together."""
+    return max(-(-sum(k * n for k, n in count.items()) // capacity), sum(n for k, n in count.items() if 2 * k > capacity))
+
+
 def packed(count: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """Patterns of lengths with the number of sequences of each, which hold exactly the pieces that count has by length."""
     rest = {k: n for k, n in count.items() if n}
     full: list[tuple[Pattern, int]] = []
     if rest.get(capacity):
         full.append((((capacity, 1),), rest.pop(capacity)))
-    solved, left = program(rest, capacity)
-    solved, plain = solved + best_fit(left, capacity), best_fit(rest, capacity)
-    return full + (solved if sum(n for _, n in solved) <= sum(n for _, n in plain) else plain)
+    best = None
+    for power in POWERS:
+        solved, left = program(rest, capacity, power)
+        solved += best_fit(left, capacity)
+        best = solved if best is None or sequences(solved) < sequences(best) else best
+        if sequences(best) <= bound(rest, capacity) * (1 + GAP) + 1:
+            break
+    return full + best
 
 
 def places(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, int]]:
