@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, label int, _n int, size long, spans string, copies int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, label int, _n int, size long, spans string, copies int, _keep_id long, _quality_score double, _row string, row long, unit string"
 
 
 def sentence(rng, words=40):
@@ -28,8 +28,8 @@ def texts():
 
 
 def rows():
-    out = [(i * 3 - 6, t, "en", None if i % 7 == 0 else f"s{i % 3}", None if t is None else len(t), 0.5, i, 1, 2, 3, "x", 4) for i, t in enumerate(texts())]
-    return [*out, out[8], out[8], (None, "no id, but a text of its own", None, None, None, None, None, None, None, None, None, None), (None, None, None, "s1", 0, None, None, None, None, None, None, None)]
+    out = [(i * 3 - 6, t, "en", None if i % 7 == 0 else f"s{i % 3}", None if t is None else len(t), 0.5, i, 1, 2, 3, "x", 4, -5, -6.0, "r", 7, "u") for i, t in enumerate(texts())]
+    return [*out, out[8], out[8], (None, "no id, but a text of its own", *[None] * 15), (None, None, None, "s1", *[None] * 13)]
 
 
 @pytest.fixture(scope="session")

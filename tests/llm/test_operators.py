@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import heapq
 import itertools
 import math
 import re
@@ -11,10 +12,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.llm import fingerprints, mixing, ngram_join, packing, quality, secrets, sharding, suffixes, topk, warc
-from tessera.llm.common import shared_folder, skew_join
+from tessera.llm.common import new_path, skew_join
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def same(found, expected):
@@ -73,6 +78,50 @@ def test_ngram_join(odd, none, block, monkeypatch):
         assert ngram_join.near_duplicates(none).count() == 0
 
 
+def chained(rng):
+    """Chains of texts that share half of their words with the next, and groups of near copies: one large component of several buckets."""
+    words = lambda n: ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(n)]
+    base, out = words(60), []
+    for _ in range(60):
+        base = base[9:] + words(9)
+        out += [" ".join(base)] + [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (0, 59)]
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 512])
+def test_components_and_buckets_agree(spark, block, monkeypatch):
+    import random
+
+    texts = chained(random.Random(4))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    split, keep = [], ngram_join.units
+
+    def watched(*tables):
+        got = keep(*tables)
+        split.append(got[1])
+        return got
+
+    monkeypatch.setattr(ngram_join, "units", watched)
+    sets = [shingles(t) for t in texts]
+    links = [sum(9 * len(a & b) >= 4 * (len(a) + len(b)) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)]
+    got = ngram_join.near_duplicates(docs).orderBy("doc_id").collect()
+    assert [r["links"] for r in got] == links and max(links) > 1
+    assert split == [block == 1]
+
+
+def test_null_ids_and_repeated_rows(spark):
+    import random
+
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(60)]
+    texts = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (0, 30, 59)] + [" ".join(base[:30])]
+    docs = spark.createDataFrame([(None, t) for t in texts] * 40 + [(5, texts[0])] * 300, "doc_id long, text string").repartition(5)
+    got = ngram_join.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["links"]) for r in got)[(5, 300 + 3 * 40 - 1)] == 300
+    assert ngram_join.deduplicated(docs).count() == 2
+
+
 def test_bands_reach_recall():
     b = ngram_join.bands_for(0.8)
     assert 1 - (1 - 0.8**ngram_join.ROWS) ** b >= ngram_join.RECALL > 1 - (1 - 0.8**ngram_join.ROWS) ** (b - 1)
@@ -104,6 +153,99 @@ def test_windows_equal_entropy_from_scratch():
         assert {p for a, b in secrets.high_windows(string, window, least) for p in range(a, b)} == good
 
 
+def test_placeholders_hide_their_own_part_only():
+    key = "k9Qz2LmX7vRb4TnW8yUc3HsJ6pDf"
+    for text, at in ((f"sample_{key}", 7), (f"{key}-dummy", 0), (f"your-{key}/x", 5), (f"{key}/example/{key}", 0)):
+        spans = secrets.entropy_spans(f"see {text} there")
+        assert spans and spans[0][0] <= 4 + at + 1 and spans[0][1] >= 4 + at + len(key) - 1, text
+        assert not any(a < 4 + text.find(w) + len(w) and b > 4 + text.find(w) for a, b, _ in spans for w in ("sample", "dummy", "example") if w in text)
+    assert not secrets.entropy_spans("your-placeholder_example-xxxxxxxxxxxxxxxxxxxx1")
+
+
+WORDS, IN_VALUE, UPPER_OR_DIGIT, HEXES = ("password", "passwd", "secret", "token", "apikey", "api_key"), set(LETTERS + LETTERS.upper() + "0123456789+/_.=-"), set(LETTERS.upper() + "0123456789"), set("0123456789abcdef")
+
+
+def run_of(text, at, signs):
+    end = at
+    while end < len(text) and text[end] in signs:
+        end += 1
+    return end
+
+
+def base_by_hand(text):
+    """The three base kinds, character by character, without a regular expression."""
+    out, at = [], 0
+    while at < len(text):  # assign
+        end = None
+        for w in WORDS:
+            if text[at : at + len(w)].isascii() and text[at : at + len(w)].lower() == w:
+                p = at + len(w)
+                for skip in (1, 0):
+                    q = p
+                    if skip:
+                        if q >= len(text) or text[q] not in "\"'":
+                            continue
+                        q += 1
+                    q = run_of(text, q, " ")
+                    if q < len(text) and text[q] in ":=":
+                        q = run_of(text, q + 1, " ")
+                        if q < len(text) and text[q] in "\"'" and run_of(text, q + 1, IN_VALUE) > q + 1:
+                            q += 1
+                        if run_of(text, q, IN_VALUE) > q:
+                            end = run_of(text, q, IN_VALUE)
+                            if end - q >= 12:
+                                out.append((at, end, "assign"))
+                            break
+                if end:
+                    break
+        at = end or at + 1
+    at = 0
+    while at < len(text):  # access
+        end = run_of(text, at + 4, UPPER_OR_DIGIT) if text.startswith("AKIA", at) else at
+        if end > at + 4:
+            if end - at >= 18:
+                out.append((at, end, "access"))
+            at = end
+        else:
+            at += 1
+    at = 0
+    while at < len(text):  # hex
+        end = run_of(text, at, HEXES)
+        if end - at >= 16:
+            out.append((at, end, "hex"))
+        at = max(end, at + 1)
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["password", "PassWd", "secret", "token", "api_key", "APIKEY", "ſecret", "toKen", "'", '"', " ", "  ", ":", "=", "AKIA", "AKIAABCDEFGHIJKLMN", "0123456789abcdef", "deadbeef", "abcdefgh", "ABCDEF12", "x", "é", "\n", "_", "."]), max_size=14).map("".join))
+def test_base_spans_by_hand(text):
+    assert sorted(secrets.base_spans(text)) == sorted(base_by_hand(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(1, 8))), st.lists(st.tuples(st.integers(0, 20), st.integers(1, 8))))
+def test_within(spans, others):
+    spans, others = [(a, a + n, "entropy") for a, n in spans], [(a, a + n, "hex") for a, n in others]
+    assert secrets.within(spans, others) == {s for s in spans if any(o[0] <= s[0] and s[1] <= o[1] for o in others)}
+
+
+def test_query_writes_its_spans(spark, odd, monkeypatch):
+    monkeypatch.setattr(secrets, "documents", lambda spark, sf_dir: odd)
+    rows = odd.select("doc_id", "text").collect()
+    expected = []
+    for r in rows:
+        text = r["text"] or ""
+        base = sorted(base_by_hand(text), key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+        listed = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        count = Counter(k for _, _, k in base)
+        expected.append((r["doc_id"], count["assign"], count["access"], count["hex"], hashlib.sha256(listed.encode()).hexdigest()))
+    got = secrets.op2_secrets(spark, "")
+    same(got.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256").collect(), expected)
+    for r in got.where("n_entropy = 0").collect():
+        assert r["base_sha256"] == hashlib.sha256(r["spans"].encode()).hexdigest()
+
+
 LOWERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = {"lower": LOWERS + DIGITS, "base32": LOWERS.upper() + "234567", "mixed": LOWERS + LOWERS.upper() + DIGITS, "base64": LOWERS + LOWERS.upper() + DIGITS + "+/", "url": LOWERS + LOWERS.upper() + DIGITS + "_-"}
 
@@ -147,6 +289,21 @@ def test_sharding(spark, odd, none, tmp_path):
     assert sharding.shard_documents(none).count() == 0
 
 
+def test_one_id_on_very_many_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(7, "w" * int(n)) for n in rng.integers(0, 40, 1500)] + [(8, "same")] * 1500 + [(i, "x" * int(n)) for i, n in zip(range(1000, 1500), rng.integers(0, 40, 500), strict=True)] + [(None, "y" * int(n)) for n in rng.integers(0, 40, 300)]
+    for more in ([], [(99, "z" * 40_000)]):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string").repartition(4)
+        got = sharding.shard_documents(docs).collect()
+        assert len(got) == len(rows + more)
+        load = Counter()
+        for r in got:
+            load[r["shard"]] += r["size"]
+        assert max(load[s] for s in range(8)) - min(load[s] for s in range(8)) <= max(r["size"] for r in got)
+        for s in range(8):
+            assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
 def test_slot_map():
     weight = np.random.default_rng(0).integers(1, 5000, 1024)
     even = sharding.SlotMap.even(1024, 8)
@@ -171,7 +328,7 @@ def canonical(text):
 @pytest.mark.parametrize("part_rows", [4096, 5])
 def test_fingerprints(odd, part_rows, monkeypatch):
     monkeypatch.setattr(fingerprints, "PART_ROWS", part_rows)
-    rows = sorted(((r["doc_id"], r["text"] or "") for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].encode()), r[1]))
     texts = [t for _, t in rows]
     after = texts[1:] + texts[:1]
     edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, after, strict=True)]
@@ -181,42 +338,56 @@ def test_fingerprints(odd, part_rows, monkeypatch):
     assert got.select("fingerprint").distinct().count() == len({canonical(t) for t in texts})
 
 
+def test_successors_of_large_repeated_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "PART_ROWS", 5)
+    rows = [((1 << 53) + i, f"a{i}") for i in range(40)] + [(7, f"b{i}") for i in range(60)] + [(None, f"c{i}") for i in range(30)] + [(-(1 << 62) + i, f"d{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].encode()), r[1]))
+    after = ordered[1:] + ordered[:1]
+    got = fingerprints.with_next(docs).collect()
+    same(got, [(i, t, n) for (i, t), (_, n) in zip(ordered, after, strict=True)])
+    parts = fingerprints.parted(docs)[0].groupBy("_part").count().collect()
+    assert len(parts) > 15 and max(r["count"] for r in parts) < 30
+
+
 def test_equal_digests_of_different_bytes(odd, none):
     weak = lambda c: F.lpad(F.hex(F.length(c) % 3), 32, "0")
-    got = fingerprints.fingerprinted(odd, weak).select("fingerprint").distinct().count()
-    assert got == len({canonical(r["text"] or "") for r in odd.collect()})
+    found = fingerprints.fingerprinted(odd, weak)
+    assert found.select("fingerprint").distinct().count() == len({canonical(r["text"] or "") for r in odd.collect()}) and found.count() == odd.count()
     assert fingerprints.fingerprinted(none).count() == 0
 
 
 # --- 5 -------------------------------------------------------------------------------------------------------------------
 
 
+URLS = ["http://a/", "http://b/\r\nX: y", None, "", "http://c/", "http://c/", "http://d/", "http://e/\u2028X-Page-Id: 999", "http://f/\u2029WARC-Type: revisit", "http://g/\x85X-Page-Id: 9\x0bX-Page-Id: 8\x0cX-Page-Id: 7\nX-Page-Id: 6\rX-Page-Id: 5", "X-Page-Id: 1"]
+
+
 def test_archive(spark):
-    pages = [(5, "http://a/", "<p>x</p>"), (3, "http://b/\r\nX: y", "<p>x</p>"), (9, None, None), (7, "", ""), (8, "http://c/", "é\r\n\r\nWARC-Type: revisit\r\n"), (8, "http://c/", "é\r\n\r\nWARC-Type: revisit\r\n"), (None, "http://d/", "<p>x</p>")]
-    path = f"{shared_folder(spark)}/archive-test"
-    spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("copies", F.lit(1)).write.mode("overwrite").parquet(path + "-pages")
-    import shutil
-
-    shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-    warc.write_archive(spark.read.parquet(path + "-pages"), path)
-    least = {}
-    for i, _, h in pages:
-        if i is not None:
-            least[h or ""] = min(least.get(h or "", i), i)
+    htmls = ["<p>x</p>", "<p>x</p>", None, "", "é\r\n\r\nWARC-Type: revisit\r\n", "é\r\n\r\nWARC-Type: revisit\r\n", "<p>x</p>", "<p>x</p>", "own", "X-Page-Id: 3\r\n\r\n", "\u2028X-Page-Id: 3"]
+    pages = list(zip([5, 3, 9, 7, 8, 8, None, 20, 21, 22, 23], URLS, htmls, strict=True))
+    path = new_path(spark, "archive-test")
+    warc.write_archive(spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("copies", F.lit(1)).withColumn("row", F.lit(1)), path)
     digest = lambda h: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
-    same(warc.read_archive(spark, path).collect(), [(i, len((h or "").encode()), digest(h), "response" if least[h or ""] == i else "revisit", None if least[h or ""] == i else least[h or ""]) for i, _, h in pages])
-    assert warc.payloads(spark, path).count() == 3
+    expected, seen = [], {}
+    for i, _, h in sorted(pages, key=lambda p: (p[0] is None, p[0])):
+        first = seen.get(h or "")
+        expected.append((i, len((h or "").encode()), digest(h), "response" if first is None else "revisit", first))
+        seen.setdefault(h or "", i)
+    same(warc.read_archive(spark, path).collect(), expected)
+    assert warc.payloads(spark, path).count() == len(seen)
+    heads = [bytes(r["header"]) for r in spark.read.parquet(f"{path}/headers").collect()]
+    ids = [re.search(rb"WARC-Record-ID: (\S+)\r\n", h).group(1) for h in heads]
+    assert len(set(ids)) == len(pages) and {re.search(rb"WARC-Refers-To: (\S+)\r\n", h).group(1) for h in heads if b"-Refers-To: " in h} <= set(ids)
     whole = bytes(warc.responses(spark, path).where("page_id = 3").first()["record"])
     head, http, body = whole.split(b"\r\n\r\n", 2)
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and body == b"<p>x</p>\r\n\r\n" and b"\nX: y" not in head
     assert int(re.search(rb"Content-Length: (\d+)$", head).group(1)) == len(http) + 4 + len(b"<p>x</p>")
-    assert warc.revisits(spark, path).count() == 3
+    assert warc.revisits(spark, path).count() == sum(e[3] == "revisit" for e in expected)
 
 
 def test_no_pages(spark):
-    import uuid
-
-    path = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    path = new_path(spark, "archive")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archive(spark, path).count() == 0
 
@@ -256,14 +427,17 @@ def test_suffixes_of_unique_ids(spark, odd):
 @pytest.mark.parametrize("cells", [64, 3])
 def test_top_k(spark, cells, monkeypatch):
     monkeypatch.setattr(topk, "CELLS", cells)
+    if cells == 3:
+        monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+        monkeypatch.setattr(topk, "SENT_BYTES", 300)
     rng = np.random.default_rng(1)
     base = rng.normal(0, 0.2, (150, 8)).round(3)
     rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(base)]
     rows += [(1000 + i, rows[3][1]) for i in range(40)]  # many copies, so many ties
-    rows += [(2000, None), (2001, [1.0, None]), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (2004, []), (None, [0.1] * 8), (2020, [0.5, 0.5]), (2021, [0.25, -0.5])]
+    rows += [(2000, None), (2001, [1.0, None]), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (2004, []), (0 - 20, []), (2040, []), (None, [0.1] * 8), (2020, [0.5, 0.5]), (2021, [0.25, -0.5])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
     vectors = topk.whole_numbers(table)
-    v = {i: [math.floor(64 * float(np.float32(x))) for x in e] for i, e in rows if i is not None and e and all(x is not None and math.isfinite(x) for x in e)}
+    v = {i: [math.floor(64 * float(np.float32(x))) for x in e] for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
     expected = []
     for q in (i for i in v if i % 20 == 0):
         scores = sorted((-sum(a * b for a, b in zip(v[q], v[c], strict=True)), c) for c in v if c != q and len(v[c]) == len(v[q]))
@@ -296,6 +470,74 @@ def test_quality(spark, odd, none):
     assert quality.scored(none, model).count() == 0
 
 
+def plain_features(text):
+    """The features as pairs of a kind and their bytes, by the definition alone."""
+    words = re.findall(rb"[^ \t\n\x0b\x0c\r]+", text.encode())
+    for n in quality.NGRAMS:
+        for w in words:
+            padded = b" " + w + b" "
+            for i in range(len(padded) - n + 1):
+                if padded[i : i + n] != padded:
+                    yield n, padded[i : i + n]
+    for w in words:
+        yield 101, w
+    for a, b in itertools.pairwise(words):
+        yield 103, (a, b) if a != b else "twice"
+
+
+def test_features_are_what_they_say():
+    texts = ["ab  cd\tab ab", "", " x ", "é ab\n\nlonger words here", "\x0b", "a a a b"]
+    seen = {}
+    for sizes, entries in quality.features(texts):
+        got = np.split(entries, np.cumsum(sizes)[:-1])
+        for text, found in zip(texts, got, strict=True):
+            expected = Counter(plain_features(text))
+            assert sorted(Counter(found.tolist()).values()) == sorted(expected.values()), text
+            for e in set(expected):
+                seen.setdefault(e, set()).add(text)
+    assert len(seen) > 20
+
+
+def test_odds_equal_softmax_over_averaged_vectors(spark):
+    rng = np.random.default_rng(0)
+    texts = [" ".join(rng.choice(["aa", "bb", "cc", "dd"] if i % 2 else ["dd", "ee", "ff", "gg"], 12)) for i in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    rows = [(r["label"], r["entries"], r["counts"]) for r in quality.training_rows(docs, labels).collect()]
+    vectors, out, bias = quality.learnt(rows)
+    asked = [*texts[:4], "aa ee", "", "zz new words"]
+    got = quality.scored(spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string"), quality.train(rows)).orderBy("doc_id").collect()
+    for text, row in zip(asked, got, strict=True):
+        entries = next(quality.features([text]))[1]
+        mean = vectors[entries].mean(0) if len(entries) else np.zeros(quality.DIM)
+        z = out @ mean + bias
+        assert row["score"] == pytest.approx(float(np.exp(z[1]) / np.exp(z).sum()), abs=1e-4)
+    assert got[1]["score"] > 0.5 > got[0]["score"]
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(1)
+    vectors, out, bias, share = rng.normal(size=(5, 3)), rng.normal(size=(2, 3)), rng.normal(size=2), rng.dirichlet(np.ones(5))
+
+    def loss(v, o, b):
+        z = o @ (share @ v) + b
+        return float(np.log(np.exp(z).sum()) - z[1])
+
+    for found, k in zip(quality.gradient(vectors, share, out, bias, 1), range(3), strict=True):
+        for at in np.ndindex(found.shape):
+            up, down = [x.copy() for x in (vectors, out, bias)], [x.copy() for x in (vectors, out, bias)]
+            up[k][at] += 1e-5
+            down[k][at] -= 1e-5
+            assert found[at] == pytest.approx((loss(*up) - loss(*down)) / 2e-5, abs=1e-6)
+
+
+def test_an_id_on_very_many_rows_is_read_once(spark):
+    docs = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")).unionByName(spark.createDataFrame([(4, "other")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(3, 1), (4, 0)], "doc_id long, quality int")
+    assert quality.training_rows(docs, labels, 5).count() == 2
+    assert quality.training_rows(docs, labels, 5, 2).count() == 0  # no bytes at all
+
+
 def test_training_without_labels(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odds, bias = quality.fit(odd, labels)
@@ -326,8 +568,27 @@ def targets(sizes):
         capped |= over
 
 
-def test_mixing(odd, none):
-    got = mixing.fair_queue(odd).collect()
+def simulated(rows, expected):
+    """taken of each row, from a heap of the next words of all sources. rows: source, words, in the order of the queues."""
+    queues = defaultdict(list)
+    for k, (source, size) in enumerate(rows):
+        queues[source].extend([k] * size)
+    name = lambda s: (s is None, s or "")
+    heap = [(1 / expected[s], name(s), 1, s) for s, q in queues.items() if q and expected[s] > 0]
+    heapq.heapify(heap)
+    taken = [0] * len(rows)
+    for _ in range(sum(size for _, size in rows)):
+        _, _, j, s = heapq.heappop(heap)
+        taken[queues[s][(j - 1) % len(queues[s])]] += 1
+        if j < 3 * len(queues[s]):
+            heapq.heappush(heap, ((j + 1) / expected[s], name(s), j + 1, s))
+    return taken
+
+
+@pytest.mark.parametrize("ranges", [4096, 7])
+def test_mixing(odd, none, ranges, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    got = mixing.fair_queue(odd).orderBy("source", "queue_end").collect()
     count = lambda t: len(re.findall(mixing.WORD, t or ""))
     rows = odd.select("doc_id", "source", "text").collect()
     same([(r["doc_id"], r["size"]) for r in got], [(r["doc_id"], count(r["text"])) for r in rows])
@@ -338,7 +599,9 @@ def test_mixing(odd, none):
     for r in got:
         taken[r["source"]] += r["taken"]
         assert 0 <= r["taken"] <= 3 * r["size"] and r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(expected[r["source"]])
-    assert all(abs(taken[s] - t) <= 1 for s, t in expected.items())
+    assert all(abs(taken[s] - t) <= 1 for s, t in expected.items()) and sum(taken.values()) == sum(sizes.values())
+    words = [r for r in got if r["size"]]
+    assert [r["taken"] for r in words] == simulated([(r["source"], r["size"]) for r in words], {r["source"]: r["target"] for r in got})
     order = mixing.mix_order(mixing.fair_queue(odd)).collect()
     assert sum(r["words"] for r in order) == sum(taken.values())
     assert [r["copy_finish"] for r in order] == sorted(r["copy_finish"] for r in order)
@@ -347,6 +610,19 @@ def test_mixing(odd, none):
     assert mixing.fair_queue(none).count() == mixing.mixed_documents(none).count() == 0
 
 
+def test_many_sources(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "w " * int(n), f"s{int(k)}") for i, (n, k) in enumerate(zip(rng.integers(0, 40, 400), rng.zipf(1.3, 400) % 90, strict=True))]
+    got = mixing.fair_queue(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).orderBy("source", "queue_end").collect()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t) // 2
+    expected = targets(dict(sizes))
+    assert all(r["target"] == pytest.approx(expected[r["source"]]) for r in got)
+    words = [r for r in got if r["size"]]
+    assert [r["taken"] for r in words] == simulated([(r["source"], r["size"]) for r in words], {r["source"]: r["target"] for r in got})
+
+
 def test_small_sources_stop_at_three_times_their_size(spark):
     docs = spark.createDataFrame([(1, "w " * 1000, "a"), (2, "w " * 3, "b"), (3, "w " * 2, "c"), (4, "", "d")], "doc_id long, text string, source string")
     got = {r["source"]: r for r in mixing.fair_queue(docs).collect()}
@@ -388,8 +664,7 @@ def test_packed_holds_all_pieces(seed):
         for k, a in pattern:
             held[k] += a * n
     assert held == count
-    best = sum(n for _, n in packing.best_fit(dict(count), 100))
-    assert sum(n for _, n in patterns) <= best
+    assert packing.bound(count, 100) <= packing.sequences(patterns) <= 1.03 * packing.sequences(packing.best_fit(dict(count), 100)) + 1
     places = packing.places(patterns)
     assert len({(p[0], p[1]) for p in places}) == len(places)
 
@@ -419,7 +694,7 @@ def test_program_covers_every_length():
     lengths = np.arange(1, 1024)
     count = np.random.default_rng(5).integers(50, 150, len(lengths)).astype(float)
     covered = np.zeros(len(lengths))
-    for pattern, step in packing.fractional(lengths, count, 1024):
+    for pattern, step in packing.fractional(lengths, count, 1024, 1024):
         for i, a in pattern.items():
             covered[i] += a * step
     assert (covered >= count).all()
