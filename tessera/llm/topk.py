@@ -89,47 +89,54 @@ def bounds(q: np.ndarray, c: np.ndarray, low: np.ndarray, width: np.ndarray) ->
     return at_least + (np.minimum(q, 0).astype(kind) @ spread)[:, None], at_least + (np.maximum(q, 0).astype(kind) @ spread)[:, None]
 
 
-def unpacked(blocks: list, reach: dict[int, int] | None = None) -> dict[int, list]:
-    """Blocks of queries by their number of components: ids, vectors and, where reach is given, the bound to be reached."""
+def unpacked(blocks: list, reach: dict[int, tuple[int, int]] | None = None) -> dict[int, list]:
+    """Blocks of queries by their number of components: ids, vectors and, where reach is given, the bound and the id that it asks for."""
     out: dict[int, list] = {}
     for b in blocks:
         ids = np.frombuffer(b["ids"], np.int64)
-        bound = None if reach is None else np.array([reach.get(i, -np.inf) for i in ids.tolist()])
-        out.setdefault(b["dim"], []).append((ids, np.frombuffer(b["vectors"], np.int64).reshape(len(ids), b["dim"]), bound))
+        asked = [(reach or {}).get(i, (None, 0)) for i in ids.tolist()]
+        low, last = np.array([-np.inf if x is None else x for x, _ in asked]), np.array([i for _, i in asked], np.int64)
+        out.setdefault(b["dim"], []).append((ids, np.frombuffer(b["vectors"], np.int64).reshape(len(ids), b["dim"]), low, last))
     return out
 
 
 def least_bounds(file: DataFrame, sent: Broadcast, cells: dict, k: int) -> DataFrame:
-    """query_id, reach: the k-th best lower bound of each query that has so many."""
+    """query_id, reach (low, id): the k-th best lower bound of each query that has so many, ties to the smaller id, and whose it is."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks, best = unpacked(sent.value), {}
         for batch in batches:
-            for dim, n, raw in zip(batch["dim"].tolist(), batch["n"].tolist(), batch["cells"], strict=True):
-                c = np.frombuffer(raw, np.uint8).reshape(n, dim)
-                for at, (_, q, _) in enumerate(blocks.get(dim, [])):
-                    least = bounds(q, c, *cells_of(cells, dim))[0]
-                    least = np.concatenate([best[dim, at], least], 1) if (dim, at) in best else least
-                    best[dim, at] = -np.partition(-least, k - 1, 1)[:, :k] if least.shape[1] > k else least
-        for (dim, at), least in best.items():
-            yield pd.DataFrame({"query_id": blocks[dim][at][0], "lows": list(least.astype(np.int64))})
+            for dim, n, ids, raw in zip(batch["dim"].tolist(), batch["n"].tolist(), batch["ids"], batch["cells"], strict=True):
+                c, ids = np.frombuffer(raw, np.uint8).reshape(n, dim), np.frombuffer(ids, np.int64)
+                for at, (query_ids, q, _, _) in enumerate(blocks.get(dim, [])):
+                    least, of = bounds(q, c, *cells_of(cells, dim))[0], np.broadcast_to(ids, (len(query_ids), n))
+                    if (dim, at) in best:
+                        least, of = np.concatenate([best[dim, at][0], least], 1), np.concatenate([best[dim, at][1], of], 1)
+                    if least.shape[1] > k:
+                        top = np.argpartition(-least, k - 1, 1)[:, :k]
+                        least, of = np.take_along_axis(least, top, 1), np.take_along_axis(of, top, 1)
+                    best[dim, at] = least, of
+        for (dim, at), (least, of) in best.items():
+            yield pd.DataFrame({"query_id": blocks[dim][at][0], "down": list(-least.astype(np.int64)), "ids": list(of)})
 
-    lows = file.select("dim", "n", "cells").mapInPandas(scan, "query_id long, lows array<long>")
-    best = F.sort_array(F.flatten(F.collect_list("lows")), asc=False)
-    return lows.groupBy("query_id").agg(F.get(best, F.lit(k - 1)).alias("reach")).where("reach is not null")
+    lows = file.mapInPandas(scan, "query_id long, down array<long>, ids array<long>")
+    best = F.get(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("down", "ids")))), F.lit(k - 1))
+    return lows.groupBy("query_id").agg(best.alias("best")).where("best is not null").select("query_id", F.struct((-F.col("best.down")).alias("low"), F.col("best.ids").alias("id")).alias("reach"))
 
 
-def candidates(file: DataFrame, sent: Broadcast, reach: dict[int, int], cells: dict) -> DataFrame:
-    """query_id, class_id, high: the vectors whose upper bound reaches a query's k-th lower bound."""
+def candidates(file: DataFrame, sent: Broadcast, reach: dict[int, tuple[int, int]], cells: dict) -> DataFrame:
+    """query_id, class_id, high: the vectors whose upper bound reaches a query's k-th lower bound. Of those that can only equal it, vectors of greater ids than the k-th are behind k others."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks = unpacked(sent.value, reach)
         for batch in batches:
             for dim, n, ids, raw in zip(batch["dim"].tolist(), batch["n"].tolist(), batch["ids"], batch["cells"], strict=True):
                 c, ids = np.frombuffer(raw, np.uint8).reshape(n, dim), np.frombuffer(ids, np.int64)
-                for query_ids, q, bound in blocks.get(dim, []):
+                for query_ids, q, low, last in blocks.get(dim, []):
                     most = bounds(q, c, *cells_of(cells, dim))[1]
-                    at, of = np.nonzero(most >= bound[:, None])
+                    at, of = np.nonzero(most >= low[:, None])
+                    stay = (most[at, of] > low[at]) | (ids[of] <= last[at])
+                    at, of = at[stay], of[stay]
                     yield pd.DataFrame({"query_id": query_ids[at], "class_id": ids[of], "high": most[at, of].astype(np.int64)})
 
     return file.mapInPandas(scan, "query_id long, class_id long, high long")
@@ -146,7 +153,7 @@ def searched(file: DataFrame, queries: DataFrame, cells: dict, k: int) -> DataFr
     for at in range(0, number, each):
         turn = blocks.where((F.col("q") >= at) & (F.col("q") < at + each)).select("dim", "ids", "vectors").collect()  # SENT_BYTES, or one block
         sent = spark.sparkContext.broadcast([r.asDict() for r in turn])
-        reach = dict(least_bounds(file, sent, cells, k).collect())  # a number for each query of the turn
+        reach = {r[0]: tuple(r[1]) for r in least_bounds(file, sent, cells, k).collect()}  # two numbers for each query of the turn
         found = found.unionByName(stored(candidates(file, sent, reach, cells), "near"))
         sent.unpersist()
     return found

@@ -433,6 +433,7 @@ def test_top_k(spark, cells, monkeypatch):
     rng = np.random.default_rng(1)
     base = rng.normal(0, 0.2, (150, 8)).round(3)
     rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(base)]
+    rows += [(3000 + 20 * i, [0.0] * 8 if i % 2 else [0.5] + [0.0] * 7) for i in range(3)]  # every score is equal, or many are
     rows += [(1000 + i, rows[3][1]) for i in range(40)]  # many copies, so many ties
     rows += [(2000, None), (2001, [1.0, None]), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (2004, []), (0 - 20, []), (2040, []), (None, [0.1] * 8), (2020, [0.5, 0.5]), (2021, [0.25, -0.5])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
