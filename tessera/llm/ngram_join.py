@@ -27,8 +27,8 @@ SIMILARITY = (4, 5)
 RECALL, ROWS = 0.9995, 6
 #: Classes of a block, and of a task of small components.
 BLOCK, TASK = 512, 1000
-#: Rows (of about 100 bytes) that are broadcast at most; beyond that the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Rows (of about 300 bytes) that are broadcast at most; beyond that the join shuffles.
+BROADCAST_ROWS = 100_000
 #: Columns of the incidence matrix at once.
 CHUNK = 4096
 
