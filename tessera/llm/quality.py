@@ -178,8 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return train(rows, (of.get(0, 0) / total, of.get(1, 0) / total))
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "score") -> DataFrame:
-    """docs with the probability of label 1 in column, which replaces one of that name. Null and empty texts get the model's answer for no evidence."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "score", text: str = "text") -> DataFrame:
+    """docs with the probability of label 1, by the text that stands in text, in column, which replaces one of that name. Null and empty texts get the model's answer for no evidence."""
     odds, bias = model
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((np.asarray(odds, np.float32), float(bias)))  # TABLE numbers
@@ -195,7 +195,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "scor
             z = np.concatenate(out) if out else np.zeros(0)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    return docs.withColumn(column, F.pandas_udf(score, "double")(F.col("text")))
+    return docs.withColumn(column, F.pandas_udf(score, "double")(F.col(text)))
 
 
 def held_out() -> F.Column:
