@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing, ngram_join, packing, quality, secrets
-from tessera.llm.common import documents, stored, whole_row
+from tessera.llm.common import documents, stored
 
 
 #: Parts whose ids a tokenizing worker remembers: fewer than alone, as other stages share its memory.
@@ -19,7 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is judged by its own text, repeated rows and ids alike; null and empty texts have the score of no evidence. The
     model is fitted on docs and the labels of sf_dir. No rows give none.
     """
-    got = quality.scored(whole_row(docs), quality.quality_model(spark, docs, sf_dir))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    got = quality.scored(rows, quality.quality_model(spark, docs, sf_dir), text="_row.text")
     return got.where(F.col("score") >= quality.THRESHOLD).select("_row.*")
 
 
