@@ -90,7 +90,7 @@ def truncated(queue: DataFrame) -> DataFrame:
     width = max(high - low, 1) / RANGES
     words_ = stored(words_.withColumn("range", F.least(F.greatest(F.floor((F.col("finish") - low / RANGES) / width * FINE), F.lit(0)), F.lit(FINE - 1)).cast("int")), "words")
     sources = stored(queue.groupBy("_source").agg(F.first("target").alias("target"), F.first("source_size").alias("source_size")).withColumn("_before", F.least(before, REPEATS * F.col("source_size"))), "sources")
-    left = budget - (sources.agg(F.sum("_before")).first()[0] or 0)
+    left = max(0, budget - (sources.agg(F.sum("_before")).first()[0] or 0))
     counts = dict(words_.groupBy("range").count().collect())  # FINE rows at most
     upto = list(accumulate((counts.get(i, 0) for i in range(FINE)), initial=0))
     cut = max(i for i, n in enumerate(upto) if n <= left)
