@@ -194,4 +194,49 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", number("assign"), number("access"), number("hex"), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), number("entropy"))
 
 
-QUERIES, SQL = {"op2_secrets": op2_secrets}, {}
+_KEYS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in key) for key in ("password", "passwd", "secret", "token", "api_?key"))
+_SQL_ASSIGN = rf"""(?:{_KEYS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SQL_KINDS = {str.isalpha: "[A-Za-z]", LOWER: "[a-z]", UPPER: "[A-Z]", DIGIT: "[0-9]"}
+_SQL_CLASSES = ", ".join(f"({i}, {w}, {least}::DOUBLE, [{', '.join(repr(_SQL_KINDS[k]) for k in kinds)}])" for i, (_, w, least, kinds) in enumerate(CLASSES))
+
+
+def _sql_found(name: str, table: str, keys: str, text: str, pattern: str) -> str:
+    """CTEs that end in name: keys, m, s for each match m of a pattern in the column text of table, s code points before it. What stands between matches tells where they are."""
+    return f"""{name}_cut AS (SELECT {keys}, unnest(range(0, len(string_split_regex({text}, '{pattern}')))) AS i, unnest(string_split_regex({text}, '{pattern}')) AS g, unnest(regexp_extract_all({text}, '{pattern}')) AS m FROM {table}),
+{name} AS (SELECT * FROM (SELECT {keys}, m, (sum(length(g) + coalesce(length(m), 0)) OVER (PARTITION BY {keys} ORDER BY i) - coalesce(length(m), 0))::BIGINT AS s FROM {name}_cut) WHERE m IS NOT NULL)"""
+
+
+_SQL_STRINGS = ",\n".join(f"""{_sql_found(f"c{i}", "runs", "rid, s0", "run", p.pattern)}""" for i, (p, *_) in enumerate(CLASSES))
+_SQL_OF_CLASS = " UNION ALL ".join(f"SELECT rid, s0 + s AS begin, {i} AS class, m AS whole FROM c{i}" for i in range(len(CLASSES)))
+SQL_OP2 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+{_sql_found("assign", "docs", "rid", "text", _SQL_ASSIGN)},
+{_sql_found("access", "docs", "rid", "text", "AKIA[A-Z0-9]+")},
+{_sql_found("hex", "docs", "rid", "text", "[0-9a-f]+")},
+base AS (SELECT rid, 0 AS k, s, s + length(m) AS e FROM assign WHERE length(regexp_extract(m, '{_SQL_ASSIGN}', 1)) >= {LEAST_ASSIGN}
+  UNION ALL SELECT rid, 1, s, s + length(m) FROM access WHERE length(m) >= {LEAST_ACCESS} UNION ALL SELECT rid, 2, s, s + length(m) FROM hex WHERE length(m) >= 16),
+{_sql_found("run", "docs", "rid", "text", RUN.pattern)},
+runs AS (SELECT rid, s AS s0, m AS run FROM run),
+{_SQL_STRINGS},
+strings AS (SELECT row_number() OVER () AS sid, * FROM ({_SQL_OF_CLASS})),
+{_sql_found("part", "strings", "rid, sid, begin, class", "whole", "[^_/-]*[_/-]|[^_/-]+")},
+marked AS (SELECT *, regexp_matches(m, '{PLACEHOLDER.pattern.replace("(?=[_-])", "[_-]")}') AS bad FROM part),
+islands AS (SELECT *, sum(bad::INT) OVER (PARTITION BY sid ORDER BY s) AS island FROM marked),
+clear AS (SELECT rid, sid, class, begin + min(s) AS begin, string_agg(m, '' ORDER BY s) AS whole FROM islands WHERE NOT bad GROUP BY rid, sid, class, begin, island),
+classes(class, w, least, kinds) AS (VALUES {_SQL_CLASSES}),
+suspect AS (SELECT row_number() OVER () AS pid, * FROM clear JOIN classes USING (class) WHERE length(whole) >= w AND NOT ({" OR ".join(f"regexp_matches(whole, '{a.pattern}')" for a in ALLOWED)})),
+windows AS (SELECT pid, w, least, i, substr(whole, i + 1, w) AS win FROM (SELECT *, unnest(range(0, length(whole) - w + 1)) AS i FROM suspect)),
+high AS (SELECT pid, i, w FROM windows WHERE list_sum(list_transform(map_values(list_histogram(string_split(win, ''))), lambda c: c * log2(c))) <= (log2(w) - least) * w + 1e-9),
+joins AS (SELECT *, sum(apart) OVER (PARTITION BY pid ORDER BY i) AS island FROM (SELECT *, (i > coalesce(lag(i) OVER (PARTITION BY pid ORDER BY i) + w, -1))::INT AS apart FROM high)),
+even AS (SELECT pid, min(i) AS a, max(i) + any_value(w) AS b FROM joins GROUP BY pid, island),
+span AS (SELECT DISTINCT rid, begin + a AS s, begin + b AS e FROM even JOIN suspect USING (pid) WHERE len(list_filter(kinds, lambda k: NOT regexp_matches(substr(whole, a + 1, b - a), k))) = 0),
+over AS (SELECT *, sum(apart) OVER (PARTITION BY rid ORDER BY s, e) AS island FROM (SELECT *, (s >= coalesce(max(e) OVER (PARTITION BY rid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INT AS apart FROM span)),
+entropy AS (SELECT rid, 3 AS k, min(s) AS s, max(e) AS e FROM over GROUP BY rid, island),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM entropy x WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = x.rid AND b.s <= x.s AND x.e <= b.e)),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || s || ':' || e AS line FROM found)
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  sha256(coalesce(string_agg(line, ',' ORDER BY s, k, e) FILTER (k < 3), '')) AS base_sha256, coalesce(string_agg(line, ',' ORDER BY s, k, e), '') AS spans,
+  count(*) FILTER (k = 3) AS n_entropy FROM docs LEFT JOIN named USING (rid) GROUP BY rid
+"""
+
+QUERIES, SQL = {"op2_secrets": op2_secrets}, {"op2_secrets": SQL_OP2}
