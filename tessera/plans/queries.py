@@ -577,6 +577,86 @@ def pairs_with_pool_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("source1_entity_id", "candidate_entity_id", F.lower("c_name").alias("c_name"))
 
 
+@query(f"WITH {PARTS} SELECT entity_id FROM ents WHERE entity_id NOT LIKE 'S1-%'")
+def match_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ents = tables.part_entities(spark, sf_dir)
+    return tables.match_targets(*[ents.where(F.col("entity_id").startswith(s)) for s in ("S2-", "S3-")])
+
+
+SQL_EXAMPLES = f"""SELECT source1_entity_id, candidate_entity_id, label::INT AS label, {", ".join(features.MODE_D)}
+FROM ({SQL["features_mode_d"]}) JOIN ({SQL["hard_negatives"]}) USING (source1_entity_id, candidate_entity_id)"""
+
+
+@query(SQL_EXAMPLES)
+def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All true candidates and the hardest of the others, with mode D's features."""
+    queries, pool = tables.part_sides(spark, sf_dir)
+    got = linkage.pair_features(linkage.MODES["D"], hard_negatives(spark, sf_dir), queries, pool)
+    return got.select("source1_entity_id", "candidate_entity_id", F.col("label").cast("int").alias("label"), *features.MODE_D)
+
+
+@query(SQL_EXAMPLES)
+def features_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "features")
+    sinks.write_pairs(training_pairs(spark, sf_dir), path)
+    return tables.read_features(spark, path, features.MODE_D)
+
+
+@query(SQL["split_hash"])
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [new_path(spark, n) for n in ("fitting", "validation")]
+    for part, path in zip(labels.split(tables.document_entities(spark, sf_dir).select("entity_id")), paths, strict=True):
+        sinks.write_tsv(part, path)
+    one, two = (tables.read_ids(spark, p) for p in paths)
+    return one.withColumn("in_train", F.lit(True)).union(two.withColumn("in_train", F.lit(False)))
+
+
+@query(f"""WITH {sql_blocking(PARTS)} SELECT c.source1_entity_id, c.candidate_entity_id, c.blocking_rank, e.country FROM cands c JOIN ents e ON e.entity_id = c.source1_entity_id
+WHERE e.country IN ('STANDARD', 'PROMO')""")
+def pairs_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of two countries, from a table with a folder for each."""
+    path, (queries, _) = new_path(spark, "pairs"), tables.part_sides(spark, sf_dir)
+    of = queries.select(F.col("entity_id").alias("source1_entity_id"), "country")
+    sinks.write_pairs(part_candidates(spark, sf_dir).join(of, "source1_entity_id"), path, by_country=True)
+    got = spark.read.parquet(path).where(F.col("country").isin("STANDARD", "PROMO"))
+    return got.select("source1_entity_id", "candidate_entity_id", "blocking_rank", "country")
+
+
+@query(f"""{SQL_CLAIMED}, tops AS (SELECT source1_entity_id, candidate_entity_id FROM cands WHERE blocking_rank <= 3),
+off AS (SELECT DISTINCT source1_entity_id AS s1 FROM truth_pairs WHERE (source1_entity_id, candidate_entity_id) NOT IN (SELECT (source1_entity_id, candidate_entity_id) FROM tops))
+SELECT 'few candidates' AS files, 'warning' AS kind, (SELECT count(*) FROM off) || ' queries have matches that are no candidates, such as ' || string_agg(s1, ',' ORDER BY s1) AS message
+FROM (SELECT s1 FROM off ORDER BY s1 LIMIT 5) HAVING count(*) > 0
+UNION ALL VALUES ('no candidates', 'warning', 'candidates: file not found'), ('no candidates', 'warning', 'ids are not looked up in the pool; give valid_ids for that'), ('no matches', 'error', 'matches: file not found'),
+  ('other header', 'error', 'matches: unexpected header [''source1_entity_id'', ''candidate_entity_ids''], expected [''source1_entity_id'', ''matched_entity_ids'']'),
+  ('commas', 'error', 'matches: the header has commas and no tab: columns must be separated by tabs'), ('empty', 'error', 'matches: the file is empty')""")
+def validated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports on several pairs of result files: true ones, and some with one fault each."""
+    queries, pool = tables.part_sides(spark, sf_dir)
+    ids = tables.match_targets(pool.where("entity_id like 'S2-%'"), pool.where("entity_id like 'S3-%'"))
+    true, nothing = part_truth(spark, sf_dir).withColumnRenamed("matched", "ids"), spark.createDataFrame([], "source1_entity_id string, ids array<string>")
+    cands = stored(part_candidates(spark, sf_dir), "candidates")
+    every, few = (assign.collected(c, queries, "blocking_rank") for c in (labels.with_true_pairs(cands, part_truth(spark, sf_dir)).withColumn("blocking_rank", F.lit(1)), cands.where("blocking_rank <= 3")))
+
+    def file(lists: DataFrame, header: tuple[str, ...]) -> str:
+        path = new_path(spark, "lists")
+        sinks.write_lists(lists, path, header)
+        return path
+
+    absent, good = new_path(spark, "absent"), file(true, validate.MATCHING_HEADER)
+    blank = new_path(spark, "blank")
+    nothing.select("source1_entity_id").coalesce(1).write.text(blank)
+    cases = {
+        "all candidates": (good, file(every, validate.CANDIDATE_HEADER), ids), "few candidates": (good, file(few, validate.CANDIDATE_HEADER), ids), "no candidates": (good, absent, None),
+        "no matches": (absent, None, ids), "other header": (file(true, validate.CANDIDATE_HEADER), None, ids), "commas": (file(nothing, (",".join(validate.MATCHING_HEADER),)), None, ids), "empty": (blank, None, ids),
+    }
+    rows = []
+    for name, (matches, candidates, valid) in cases.items():
+        report = validate.validate_files(spark, matches, candidates, queries, valid)
+        said = [("error", m) for m in report.errors] + [("warning", m) for m in report.warnings]
+        rows += [(name, kind, m.replace(matches, "matches").replace(candidates or "-", "candidates")) for kind, m in said]
+    return spark.createDataFrame(rows, "files string, kind string, message string")
+
+
 #: A file with one case of each rule.
 BROKEN = ("S1-0\tS2-1,S3-2", "S1-3\t", "S1-3\tS2-4", "S1-6\tS2-1,S2-1", "S1-9\tS1-0", "S1-12\tX-1", "S1-15\tS2-1,,S2-4", "S1-18\tS2-999999", "no tab here", "", "S1-999999\tS3-2")
 SQL_BROKEN = f"""WITH {PARTS}, lines AS (SELECT unnest([{", ".join("'" + b.replace(chr(9), "' || chr(9) || '") + "'" for b in BROKEN)}]) AS value),
