@@ -15,11 +15,11 @@ def stream_candidates(pool: DataFrame, folder: str, out: str, checkpoint: str, k
 
     The pool's index is built once, when the stream starts. A batch that is run again after a failure replaces its own folder. trigger: as of writeStream.trigger.
     """
-    tokens, idf = blocking.token_index(pool)
+    tokens, idf, members = blocking.token_index(pool)
     idf = stored(idf, "idf")
     stream = pool.sparkSession.readStream.schema(ENTITY).parquet(folder)
 
     def block(batch: DataFrame, number: int) -> None:
-        blocking.index_topk(batch, tokens, idf, k).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        blocking.index_topk(batch, tokens, idf, members, k).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return stream.writeStream.foreachBatch(block).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -282,3 +282,36 @@ def test_feature_tables(spark, tmp_path):
 def _truth_file(folder):
     (folder / "t").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1, S3-1\n")
     return str(folder / "t")
+
+
+def test_copies_are_compared_once(spark, small, monkeypatch):
+    """Copies of a table make candidates for each row, as SQL says, but no pairs of their own; an id on several rows has the tokens of all."""
+    import duckdb
+
+    from tessera.plans.queries import SQL
+
+    ents = tables.part_entities(spark, small)
+    copies = ents.crossJoin(spark.range(4)).select(F.concat(F.left("entity_id", F.lit(3)), F.lit("9"), "id", F.lit("0000"), F.substring("entity_id", 4, 9)).alias("entity_id"), "business_name", "business_address", "country")
+    again = ents.where("entity_id in ('S1-0', 'S2-1', 'S3-2')").withColumn("business_address", F.lit("Brand#7 12 red gear"))
+    once, duck = ents.union(copies).toPandas(), duckdb.connect()
+    twice = ents.union(copies).union(again).toPandas()
+    summed, made = blocking.summed, []
+    monkeypatch.setattr(blocking, "summed", lambda *a: made.append(summed(*a)) or made[-1])
+    for name, run, table in (("block_topk_parts", blocking.block_topk, twice), ("tfidf_word_topk", blocking.tfidf_topk, twice), ("charwb_knn", blocking.charwb_knn, once)):  # the last one's SQL pairs rows, not ids
+        duck.register("given", table)
+        queries, pool = (spark.createDataFrame(table).where(c) for c in ("entity_id like 'S1-%'", "entity_id not like 'S1-%'"))
+        sql = SQL[name]
+        at = sql.index("AS (SELECT 'S'") + 4
+        expected = duck.sql(sql[:at] + "SELECT * FROM given" + sql[sql.index(" FROM part)", at) + len(" FROM part") :]).fetchall()
+        assert {tuple(r) for r in run(queries, pool).collect()} == {(q, c, s, r) for q, c, s, r in expected}, name
+    rows = made[0].select(F.countDistinct("source1_entity_id"), F.countDistinct("candidate_entity_id")).first()
+    assert rows[0] <= ents.where("entity_id like 'S1-%'").count() + 1 and rows[1] <= ents.where("entity_id not like 'S1-%'").count() + 2  # and the repeated ids
+
+
+def test_sums_do_not_depend_on_order(spark):
+    """0.1, 0.2 and others sum to the same in any order, and halves go up."""
+    values = [1.100000001, 2.2000003, 3.3000001, 4.440000001, 0.000000098]
+    rows = [(q, "US", f"t{i}", v) for q in ("S1-1", "S1-2") for i, v in (enumerate(values) if q == "S1-1" else reversed(list(enumerate(values))))]
+    asked = spark.createDataFrame(rows, "source1_entity_id string, country string, token string, idf double")
+    held = spark.createDataFrame([("S2-1", "US", f"t{i}") for i in range(5)], "candidate_entity_id string, country string, token string")
+    assert {r["score"] for r in blocking.summed(asked, held).collect()} == {11.040001}  # 11.0400005
