@@ -315,3 +315,15 @@ def test_sums_do_not_depend_on_order(spark):
     asked = spark.createDataFrame(rows, "source1_entity_id string, country string, token string, idf double")
     held = spark.createDataFrame([("S2-1", "US", f"t{i}") for i in range(5)], "candidate_entity_id string, country string, token string")
     assert {r["score"] for r in blocking.summed(asked, held).collect()} == {11.040001}  # 11.0400005
+
+
+def test_sums_are_those_of_doubles(spark):
+    """A sum that is a half in decimals, yet less as doubles are, goes down as in SQL, in any order."""
+    values = [3.868173791, 2.994723218, 3.068054491, 1.0]
+    rows = [(q, "US", f"t{i}", v) for q in ("S1-1", "S1-2") for i, v in (enumerate(values) if q == "S1-1" else reversed(list(enumerate(values))))]
+    asked = spark.createDataFrame(rows, "source1_entity_id string, country string, token string, idf double")
+    held = spark.createDataFrame([("S2-1", "US", f"t{i}") for i in range(4)], "candidate_entity_id string, country string, token string")
+    assert {r["score"] for r in blocking.summed(asked, held).collect()} == {10.930951}
+    most = spark.createDataFrame([("S1-1", "US", f"t{i}", 31.9) for i in range(500)], "source1_entity_id string, country string, token string, idf double")
+    held = spark.createDataFrame([("S2-1", "US", f"t{i}") for i in range(500)], "candidate_entity_id string, country string, token string")
+    assert [r["score"] for r in blocking.summed(most, held, 500).collect()] == [15950.0]
