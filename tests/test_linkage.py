@@ -327,3 +327,11 @@ def test_sums_are_those_of_doubles(spark):
     most = spark.createDataFrame([("S1-1", "US", f"t{i}", 31.9) for i in range(500)], "source1_entity_id string, country string, token string, idf double")
     held = spark.createDataFrame([("S2-1", "US", f"t{i}") for i in range(500)], "candidate_entity_id string, country string, token string")
     assert [r["score"] for r in blocking.summed(most, held, 500).collect()] == [15950.0]
+
+
+def test_candidates_are_made_once(spark, small, monkeypatch):
+    from tessera.plans import queries
+
+    find, made = queries.part_candidates, []
+    monkeypatch.setattr(queries, "part_candidates", lambda *a: made.append(a) or find(*a))
+    assert queries.audit_summary(spark, small).count() == 1 and len(made) == 1
