@@ -335,3 +335,19 @@ def test_candidates_are_made_once(spark, small, monkeypatch):
     find, made = queries.part_candidates, []
     monkeypatch.setattr(queries, "part_candidates", lambda *a: made.append(a) or find(*a))
     assert queries.audit_summary(spark, small).count() == 1 and len(made) == 1
+
+
+def test_pairs_are_not_shuffled(spark, small, monkeypatch):
+    """Also where no side of the join of tokens is small enough for a broadcast."""
+    keep, plans = blocking.stored, []
+    monkeypatch.setattr(blocking, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or keep(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert blocking.block_topk(*tables.part_sides(spark, small)).count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = dict(plans)["near"]
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x and "source1_entity_id" in x and "candidate_entity_id" in x]
+    assert "SortMergeJoin" in plan and not exchanges
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
