@@ -107,6 +107,14 @@ def test_features_of_empty_sides(spark, pool):
     assert set(features.MODE_D) < set(features.mode_d(got).columns)
 
 
+def test_sides_keep_the_order_of_columns(spark, pool):
+    pairs = spark.createDataFrame([("S1-1", "S3-2", 1)], "source1_entity_id string, candidate_entity_id string, blocking_rank int")
+    for inner in (False, True):
+        got = features.with_sides(pairs, pool, pool, inner)
+        assert got.columns == [*pairs.columns, "s1_name", "s1_address", "c_name", "c_address"]
+        assert features.mode_b(got).columns == [*pairs.columns, *features.MODE_B]
+
+
 def test_contract_rules(spark, tmp_path):
     source1 = entities(spark, [(f"S1-{i}", "", "", "US") for i in range(8)])
     valid = entities(spark, [("S2-1", "", "", "US"), ("S3-2", "", "", "US")])
