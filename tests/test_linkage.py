@@ -107,6 +107,27 @@ def test_features_of_empty_sides(spark, pool):
     assert set(features.MODE_D) < set(features.mode_d(got).columns)
 
 
+def test_queries_share_the_lists_of_truth(spark):
+    from tessera.plans.queries import name_and_brand, truth_of
+
+    pool = entities(spark, [(f"S2-{i}", "acme", "x 1", "US") for i in range(40)] + [("S3-1", "zen", "y", "US"), ("S3-2", "zen", "y", None)])
+    queries = entities(spark, [(f"S1-{i}", "acme", f"x {i}", "US") for i in range(30)] + [("S1-90", "zen", "y", "US"), ("S1-91", "lone", "z", "US"), ("S1-92", None, None, "US")])
+    truth = truth_of(queries, pool, name_and_brand)
+    plain = truth.select("*")
+    of, lists = truth._lists
+    assert (of.count(), lists.count(), sum(len(r["matched"]) for r in lists.collect())) == (33, 3, 42)
+    rows = [(f"S1-{q}", f"S2-{c}", c / 50) for q in (1, 2, 90, 91, 92, 404) for c in range(0, 45, 4)] + [("S1-90", "S3-1", 0.9), ("S1-91", "S3-1", 0.8)]
+    claims = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, probability double")
+    same = lambda f: (sorted(map(tuple, f(truth).collect())), sorted(map(tuple, f(plain).collect())))
+    for f in (
+        lambda t: labels.labelled(claims, t), lambda t: metrics.threshold_search(claims, t, assign=True), lambda t: metrics.macro_f05(t, metrics.predictions(claims, 0.6)),
+        lambda t: validate.lacking(labels.beside(t, metrics.predictions(claims, 0.2)).selectExpr("source1_entity_id AS s1", "matched AS _m", "predicted AS _c")),
+    ):
+        one, other = same(f)
+        assert one == other and one
+    assert labels.labelled(claims, truth).where("label = 1").count() == 21
+
+
 def test_sides_keep_the_order_of_columns(spark, pool):
     pairs = spark.createDataFrame([("S1-1", "S3-2", 1)], "source1_entity_id string, candidate_entity_id string, blocking_rank int")
     for inner in (False, True):
