@@ -128,6 +128,16 @@ def test_queries_share_the_lists_of_truth(spark):
     assert labels.labelled(claims, truth).where("label = 1").count() == 21
 
 
+def test_search_gives_the_sides(spark):
+    """As with_sides gives them, of ids on several rows, of queries that share their words, and of null values."""
+    pool = entities(spark, [("S2-1", "acme foods", "main street", "US"), ("S2-2", "Foods Acme", "main street", "US"), ("S2-3", "acme", None, "US"), ("S2-3", "acme tools", "x", "US"), ("S3-1", "zen foods", None, "US")])
+    queries = entities(spark, [("S1-1", "acme foods", "main st", "US"), ("S1-2", "Foods, Acme", "main st", "US"), ("S1-3", "acme", None, "US"), ("S1-4", "zen", "a", "US"), ("S1-4", "foods", None, "US"), ("S1-5", None, None, "US")])
+    sides = blocking.block_topk(queries, pool, sides=(queries, pool))
+    expected = features.with_sides(blocking.block_topk(queries, pool), queries, pool)
+    assert sides.columns == expected.columns
+    assert sorted(map(tuple, sides.collect())) == sorted(map(tuple, expected.collect())) and sides.count() > 12
+
+
 def test_sides_keep_the_order_of_columns(spark, pool):
     pairs = spark.createDataFrame([("S1-1", "S3-2", 1)], "source1_entity_id string, candidate_entity_id string, blocking_rank int")
     for inner in (False, True):
