@@ -138,6 +138,14 @@ def test_search_gives_the_sides(spark):
     assert sorted(map(tuple, sides.collect())) == sorted(map(tuple, expected.collect())) and sides.count() > 12
 
 
+def test_one_query_stands_for_its_text(spark):
+    rows = [("S1-1", "acme", None, "US"), ("S1-2", "acme", None, "US"), ("S1-3", "acme", "", "US"), ("S1-4", "acme", None, None), ("S1-5", "acme", None, None), ("S1-6", "acme", None, "US"), ("S1-6", "zen", None, "US"), ("S1-7", "zen", None, "US")]
+    few, members = tables.one_of_each_text(entities(spark, rows))
+    stand = {"S1-1": "S1-1", "S1-2": "S1-1", "S1-3": "S1-3", "S1-4": "S1-4", "S1-5": "S1-4", "S1-6": "S1-6", "S1-7": "S1-7"}
+    assert sorted(map(tuple, members.collect())) == sorted(stand.items())
+    assert sorted(map(str, map(tuple, few.collect()))) == sorted(str(r) for r in rows if r[0] in stand.values())
+
+
 def test_sides_keep_the_order_of_columns(spark, pool):
     pairs = spark.createDataFrame([("S1-1", "S3-2", 1)], "source1_entity_id string, candidate_entity_id string, blocking_rank int")
     for inner in (False, True):
