@@ -398,3 +398,42 @@ def test_pairs_are_not_shuffled(spark, small, monkeypatch):
     exchanges = [x for x in plan.splitlines() if "Exchange" in x and "source1_entity_id" in x and "candidate_entity_id" in x]
     assert "SortMergeJoin" in plan and not exchanges
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_training_compares_one_query_of_each_text(spark, small, monkeypatch):
+    """Examples by their weights, claims and matches are those of all queries, though candidates and features are made once for each text."""
+    from tessera.plans.queries import name_and_brand, truth_of
+
+    ents = tables.part_entities(spark, small).orderBy("entity_id").limit(60)  # of S1
+    copies = ents.crossJoin(spark.range(1, 6)).select(F.concat(F.lit("S"), F.col("id") % 3 + 1, F.lit("-9"), "id", F.lit("0000"), F.substring("entity_id", 4, 9)).alias("entity_id"), "business_name", "business_address", "country")
+    rows = spark.createDataFrame(ents.union(copies).toPandas())
+    queries, pool = rows.where("entity_id like 'S1-%'"), rows.where("entity_id not like 'S1-%'")
+    truth, config = truth_of(queries, pool, name_and_brand), linkage.configured("A", k=10, trees=2, rate=0.3)
+    find, fit, search, made, given = linkage.candidates, model.train, linkage.searched, [], {}
+    monkeypatch.setattr(linkage, "candidates", lambda *a: made.append(find(*a)) or made[-1])
+    monkeypatch.setattr(model, "train", lambda pairs, *a: given.update(examples=pairs) or fit(pairs, *a))
+    monkeypatch.setattr(linkage, "searched", lambda config, claims, judged: given.update(claims=claims, judged=judged) or search(config, claims, judged))
+    known, members = linkage.compared(config, queries, pool)
+    fitted, threshold, _ = linkage.trained(config, known, members, truth)
+    assert len(made) == 1 and made[0].select("source1_entity_id").distinct().count() * 2 == find(config, queries, pool).select("source1_entity_id").distinct().count()
+    few, all_ = linkage.labels.split(labels.labelled(find(config, queries, pool), truth), 0.75, "source1_entity_id")
+    weights = {r["label"]: r["n"] for r in given["examples"].groupBy("label").agg(F.sum("weight").alias("n")).collect()}
+    assert weights == {r["label"]: r["count"] for r in labels.hard_negatives(few).groupBy("label").count().collect()} and len(weights) == 2
+    got = lambda df: sorted(map(tuple, df.select("source1_entity_id", "candidate_entity_id", "probability").collect()))
+    claims = model.scored(fitted, linkage.pair_features(config, all_, queries, pool))
+    assert got(assign.assign_pool_unique(given["claims"])) == got(assign.assign_pool_unique(claims))
+    assert sorted(map(tuple, given["judged"].collect())) == sorted(map(tuple, truth.where(~labels.in_share("source1_entity_id", 0.75)).collect()))
+    for unique in (True, False):
+        setting = linkage.configured("A", k=10, threshold=threshold, pool_unique=unique)
+        matches = got(linkage.decided(setting, fitted, known, members))
+        assert matches == got(linkage.link(setting, queries, pool, fitted)[1]) and matches
+    linkage.trained(linkage.configured("A", k=10, trees=1, pool_unique=False), known, members, truth)
+    assert [(q, c) for q, c, _ in got(given["claims"])] == [(q, c) for q, c, _ in got(claims)]
+
+
+def test_a_leaf_is_limited_by_weight(spark):
+    """Examples that stand for many make leaves that as many rows would."""
+    rows = [(float(i >= 10), i >= 10, w) for w in (1.0, 30.0) for i in range(20)]
+    pairs = spark.createDataFrame(rows, "x double, y boolean, weight double").select(F.col("y").cast("int").alias("label"), "weight", *[F.col("x").alias(n) for n in features.MODE_A])
+    sizes = [model.train(pairs.where(F.col("weight") == w), "A", 1, 0.3, "weight").stages[1].trees[0].numNodes for w in (1.0, 30.0)]
+    assert sizes[0] == 1 and sizes[1] > 1
