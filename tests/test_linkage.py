@@ -437,3 +437,27 @@ def test_a_leaf_is_limited_by_weight(spark):
     pairs = spark.createDataFrame(rows, "x double, y boolean, weight double").select(F.col("y").cast("int").alias("label"), "weight", *[F.col("x").alias(n) for n in features.MODE_A])
     sizes = [model.train(pairs.where(F.col("weight") == w), "A", 1, 0.3, "weight").stages[1].trees[0].numNodes for w in (1.0, 30.0)]
     assert sizes[0] == 1 and sizes[1] > 1
+
+
+def test_large_files_are_validated_in_passes(spark, tmp_path, monkeypatch):
+    """With compressed lists, few known ids sent or none, and queries in one share or several: the same report; what is dropped is read no more."""
+    from tessera.sources.shared import shuffle_files_dropped
+
+    source1 = entities(spark, [(f"S1-{i}", "", "", "US") for i in range(30)])
+    valid = spark.createDataFrame([(f"S2-{i}",) for i in range(20)], "entity_id string")
+    lists = spark.createDataFrame([(f"S1-{i}", [f"S2-{i}", f"S2-{i + 1}"] if i % 3 else ["S2-1", "S2-1", "X-1", "S1-2", ""]) for i in range(1, 32)], "source1_entity_id string, ids array<string>")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    sinks.write_lists(lists, one, validate.MATCHING_HEADER, compression="gzip")
+    sinks.write_lists(lists.withColumn("ids", F.slice("ids", 1, 1)), two, validate.CANDIDATE_HEADER, compression="gzip")
+    assert any(f.endswith(".gz") for f in os.listdir(one))
+    whole = validate.validate_files(spark, one, two, source1, valid)
+    monkeypatch.setattr(validate, "TOGETHER", 64)
+    monkeypatch.setattr(validate, "KNOWN", 0)
+    made, keep = [], validate.stored
+    monkeypatch.setattr(validate, "stored", lambda df, name: made.append(name) or keep(df, name))
+    with shuffle_files_dropped(spark):
+        again = validate.validate_files(spark, one, two, source1, valid)
+    assert (again.errors, again.warnings) == (whole.errors, whole.warnings)
+    assert made.count("outside") > 1 and made.count("lines") == 2
+    rules = {e.split(": ")[1] for e in whole.errors}
+    assert rules == {"extra_row", "missing_row", "repeated_id", "self_match", "unknown_id", "wrong_prefix"}
